@@ -30,20 +30,32 @@ def _raw(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _bought(spark: SparkSession, sf_dir: str, grain: str = "hour") -> DataFrame:
-    tables = _raw(fixtures.staging_frames(spark, sf_dir))
+    staging = fixtures.staging_frames(spark, sf_dir)
+    tables = _raw(staging)
     return core.core_buy_product(
-        tables["browser"], tables["location"], tables["device"], grain=grain
+        tables["browser"],
+        tables["location"],
+        tables["device"],
+        grain=grain,
+        event_rows=staging["browser_events"].count(),
     )
 
 
-def _funnel_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _funnel(
+    build: Callable[..., DataFrame], spark: SparkSession, sf_dir: str, grain: str = "hour"
+) -> DataFrame:
     staging = fixtures.staging_frames(spark, sf_dir)
-    browser = raw.raw_browser_events(staging["browser_events"])
-    return browser, staging["device_events"], staging["location_events"]
+    return build(
+        raw.raw_browser_events(staging["browser_events"]),
+        staging["device_events"],
+        staging["location_events"],
+        grain=grain,
+        event_rows=staging["browser_events"].count(),
+    )
 
 
 def _payments(spark: SparkSession, sf_dir: str, grain: str = "hour") -> DataFrame:
-    return core.core_payment_confirm(*_funnel_inputs(spark, sf_dir), grain=grain)
+    return _funnel(core.core_payment_confirm, spark, sf_dir, grain)
 
 
 def _raw_query(name: str) -> Query:
@@ -51,7 +63,7 @@ def _raw_query(name: str) -> Query:
 
 
 def _funnel_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return core.funnel_steps(*_funnel_inputs(spark, sf_dir))
+    return _funnel(core.funnel_steps, spark, sf_dir)
 
 
 def _hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:

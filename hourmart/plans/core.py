@@ -3,10 +3,15 @@
 The hour is part of every window group, so a chain never crosses an hour edge
 and one pass over a range equals hour-by-hour runs. Events at one instant are
 ordered by their remaining columns.
+
+``split_rows`` is the size from which a window group is split. ``event_rows`` is
+an upper bound on the browser events of the range; without it they are counted.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,13 +39,40 @@ from hourmart.operators.prefilter import keep_matching
 EVENT_HOUR = "event_hour"
 
 
-def _lookup(
-    history: DataFrame, key: str, value: str, events: DataFrame, event_rows: int
-) -> DataFrame:
-    """Distinct (key, value) of a whole history, copies removed before the join:
-    one click or event may be stored under many load hours."""
-    needed = keep_matching(history.select(key, value), events, key, event_rows)
-    return distinct_pairs(needed, key, value)
+@dataclass(frozen=True)
+class _Events:
+    """Browser events of a range, an upper bound on their number, and whether the
+    range leaves any out."""
+
+    rows: DataFrame
+    at_most: int
+    bounded: bool
+
+    def lookup(self, history: DataFrame, key: str, value: str) -> DataFrame:
+        """Distinct (key, value) of a whole history, copies removed before the
+        join: one click or event may be stored under many load hours. A run over
+        a range that holds few events first cuts the history to their keys."""
+        pairs = history.select(key, value)
+        if self.bounded:
+            pairs = keep_matching(pairs, self.rows, key, self.at_most)
+        return distinct_pairs(pairs, key, value)
+
+
+def _events(
+    browser: DataFrame,
+    columns: list[str],
+    start: Moment | None,
+    end: Moment | None,
+    grain: str,
+    at_most: int | None,
+) -> _Events:
+    rows = (
+        in_range(browser, "event_timestamp", start, end)
+        .select(*columns)
+        .withColumn(EVENT_HOUR, bucket("event_timestamp", grain))
+    )
+    bounded = start is not None or end is not None
+    return _Events(rows, rows.count() if at_most is None else at_most, bounded)
 
 
 # --- purchase chains ---------------------------------------------------------
@@ -86,6 +118,7 @@ def core_buy_product(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
+    event_rows: int | None = None,
 ) -> DataFrame:
     """Product views whose next page is a purchase step, in clicks that reached
     the confirmation within the hour. Reads the raw tables.
@@ -94,16 +127,13 @@ def core_buy_product(
     the confirmation depend on the click alone: users are joined last, to the
     few bought views instead of to every event.
     """
-    events = (
-        in_range(browser, "event_timestamp", start, end)
-        .select("event_id", "click_id", "event_timestamp", "event_type")
-        .withColumn(EVENT_HOUR, bucket("event_timestamp", grain))
-    )
-    total = events.count()
-    pages = _lookup(location, "event_id", "page_url_path", events, total)
-    users = _lookup(device, "click_id", "user_custom_id", events, total)
+    columns = ["event_id", "click_id", "event_timestamp", "event_type"]
+    found = _events(browser, columns, start, end, grain, event_rows)
+    events = found.rows
+    pages = found.lookup(location, "event_id", "page_url_path")
+    users = found.lookup(device, "click_id", "user_custom_id")
     counts = events.groupBy(*CHAIN_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    hot = find_hot_groups(counts, CHAIN_GROUP, total, split_rows)
+    hot = find_hot_groups(counts, CHAIN_GROUP, found.at_most, split_rows)
 
     if hot.keys is None:
         bought = _bought_views(events.join(pages, "event_id"))
@@ -137,24 +167,22 @@ def _funnel_rows(
     end: Moment | None,
     grain: str,
     split_rows: int,
+    event_rows: int | None,
 ) -> list[DataFrame]:
     """Distinct events with user and page, ready for windows: the plain groups,
     and the hot ones placed in slots if there are any."""
-    events = (
-        in_range(browser, "event_timestamp", start, end)
-        .select("event_id", "click_id", "event_timestamp")
-        .withColumn(EVENT_HOUR, bucket("event_timestamp", grain))
-    )
-    total = events.count()
-    users = _lookup(device, "click_id", "user_custom_id", events, total)
-    pages = _lookup(location, "event_id", "page_url_path", events, total).withColumnRenamed(
+    columns = ["event_id", "click_id", "event_timestamp"]
+    found = _events(browser, columns, start, end, grain, event_rows)
+    events = found.rows
+    users = found.lookup(device, "click_id", "user_custom_id")
+    pages = found.lookup(location, "event_id", "page_url_path").withColumnRenamed(
         "page_url_path", "page_path"
     )
     clicks = events.groupBy(EVENT_HOUR, "click_id").agg(F.count(F.lit(1)).alias("n"))
     counts = (
         clicks.join(users, "click_id", "left").groupBy(*FUNNEL_GROUP).agg(F.sum("n").alias("n"))
     )
-    hot = find_hot_groups(counts, FUNNEL_GROUP, total, split_rows)
+    hot = find_hot_groups(counts, FUNNEL_GROUP, found.at_most, split_rows)
 
     def with_page(rows: DataFrame) -> DataFrame:
         return rows.join(pages, "event_id", "left").select(*FUNNEL_COLUMNS)
@@ -205,11 +233,12 @@ def funnel_steps(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
+    event_rows: int | None = None,
 ) -> DataFrame:
     """Funnel moves per user and hour: scored 1-3, repeats collapsed to the last,
     with the page two moves back. Reads raw browser, staging device and location.
     """
-    parts = _funnel_rows(browser, device, location, start, end, grain, split_rows)
+    parts = _funnel_rows(browser, device, location, start, end, grain, split_rows, event_rows)
     return _union([_steps(part) for part in parts])
 
 
@@ -228,6 +257,7 @@ def core_payment_confirm(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
+    event_rows: int | None = None,
 ) -> DataFrame:
     """Confirmed payments per hour.
 
@@ -237,7 +267,9 @@ def core_payment_confirm(
     """
     near = Neighbours(FUNNEL_GROUP, FUNNEL_ORDER)
     parts = []
-    for rows in _funnel_rows(browser, device, location, start, end, grain, split_rows):
+    for rows in _funnel_rows(
+        browser, device, location, start, end, grain, split_rows, event_rows
+    ):
         paged = near.shift(rows, "page_path", 1, "lead_page_path")
         paid = (F.col("page_path") == PAYMENT) & (F.col("lead_page_path") == CONFIRMATION)
         parts.append(paged.filter(paid).select(EVENT_HOUR))

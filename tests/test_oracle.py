@@ -1,0 +1,59 @@
+"""Every registered query against DuckDB on the driver's tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+from conftest import TESTDATA, rows_of
+
+import __spark_entry__ as contract
+
+SF = TESTDATA / "sf0.01"
+# Rows the fixture is known to give at this scale.
+KNOWN_ROWS = {
+    "raw_browser_events": 10_200,
+    "raw_geo_events": 600,
+    "raw_device_events": 570,
+    "core_buy_product": 124,
+    "core_payment_confirm": 154,
+    "dm_buy_product": 115,
+    "dm_hourly_events": 720,
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in SF.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_matches_oracle(spark, duck, name):
+    frame = contract.queries()[name](spark, str(SF))
+    got = rows_of(frame)
+    cursor = duck.execute(contract.oracle_sql()[name])
+    columns = [column[0] for column in cursor.description]
+    place = sorted(range(len(columns)), key=lambda i: columns[i])
+    expected = sorted(
+        tuple("NULL" if row[i] is None else str(row[i]) for i in place)
+        for row in cursor.fetchall()
+    )
+    assert sorted(frame.columns) == sorted(columns)
+    assert got == expected
+    assert got
+    if name in KNOWN_ROWS:
+        assert len(got) == KNOWN_ROWS[name]
+
+
+def test_every_query_has_an_oracle():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == [
+        "event_timestamp",
+        "page_url_path",
+        "count_page_url_path",
+    ]
