@@ -112,10 +112,11 @@ def overwrite_partitions(
     name = ensure_table(spark, spec, database)
     hidden = {column: F.expr(expression) for column, _, expression in spec.hidden}
     placed = rows.select(*spec.names).withColumns(hidden | _partition_columns(spec))
+    if spread:
+        placed = placed.hint("rebalance", *[F.col(c) for c in spec.partitions])
+    # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
-    if spread:
-        noted = noted.hint("rebalance", *[F.col(c) for c in spec.partitions])
     with _dynamic_overwrite(spark):
         noted.write.insertInto(name, overwrite=True)
     return [tuple(row) for row in seen.get["partitions"]]
