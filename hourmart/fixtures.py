@@ -5,9 +5,15 @@ One SQL text serves both engines; four expressions differ and are filled in.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourmart.schemas import FEEDS
+from hourmart.schemas import FEEDS, LOAD_HOUR
 
 _DIALECTS = {
     "duckdb": {
@@ -116,3 +122,36 @@ def staging_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         feed: spark.sql(_VIEWS[feed].replace("FROM fx_base", "FROM {b}"), b=base)
         for feed in FEEDS
     }
+
+
+def zipped_objects(rows: DataFrame, feed: str) -> DataFrame:
+    """Staging rows packed the way a bucket holds them: zipped JSON lines, each
+    object of one load hour (an hour may come in several objects)."""
+    member = f"{feed}.jsonl"
+    kinds = pa.schema(
+        [(LOAD_HOUR, pa.timestamp("us")), ("path", pa.string()), ("content", pa.binary())]
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_hour: dict = {}
+            for hour, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                by_hour.setdefault(hour, []).append(line)
+            packed = []
+            for lines in by_hour.values():
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(member, "\n".join(lines))
+                packed.append(buffer.getvalue())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(by_hour), pa.timestamp("us")),
+                    pa.array([f"{member}.zip"] * len(packed), pa.string()),
+                    pa.array(packed, pa.binary()),
+                ],
+                schema=kinds,
+            )
+
+    fields = [name for name in rows.columns if name != LOAD_HOUR]
+    lines = rows.select(LOAD_HOUR, F.to_json(F.struct(*fields)).alias("line"))
+    return lines.mapInArrow(pack, f"{LOAD_HOUR} TIMESTAMP_NTZ, path STRING, content BINARY")
