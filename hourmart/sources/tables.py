@@ -86,14 +86,28 @@ def read_table(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _write_settings(spark: SparkSession, expected: int) -> dict[str, str]:
+    values = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    if expected > spark.sparkContext.defaultParallelism:
+        # Opening a file costs more than a small task: with many partitions to
+        # write, small shuffle blocks are not merged into few tasks that would
+        # each write file after file. Large ones are split as ever.
+        values["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    return values
 
 
 def overwrite_partitions(
@@ -102,12 +116,14 @@ def overwrite_partitions(
     spec: TableSpec,
     database: str = "default",
     spread: bool = True,
+    expected: int = 1,
 ) -> list[tuple]:
     """Replace the partitions the rows fall into; returns those partitions.
 
     ``spread`` regroups rows by partition, so that an hour becomes few files,
     and a very large hour is shared by several tasks. The partitions are noted
-    during the write: one entry an hour or day of the range.
+    during the write: one entry an hour or day of the range, of which there are
+    about ``expected``.
     """
     name = ensure_table(spark, spec, database)
     hidden = {column: F.expr(expression) for column, _, expression in spec.hidden}
@@ -117,7 +133,7 @@ def overwrite_partitions(
     # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
-    with _dynamic_overwrite(spark):
+    with _settings(spark, _write_settings(spark, expected)):
         noted.write.insertInto(name, overwrite=True)
     return [tuple(row) for row in seen.get["partitions"]]
 
@@ -150,6 +166,11 @@ def _drop_partitions(
     )
 
 
+def _expected_partitions(spec: TableSpec, start: Moment, end: Moment) -> int:
+    hours = (as_hour(end) - as_hour(start)) // timedelta(hours=1)
+    return hours if "hr" in spec.partitions else hours // 24 + 1
+
+
 def _inside(rows: DataFrame, spec: TableSpec, start: Moment, end: Moment) -> DataFrame:
     """A row outside the range would overwrite hours that are not its own."""
     inside = F.coalesce(within(F.col(spec.hour), start, end), F.lit(False))
@@ -177,7 +198,8 @@ def replace_hours(
         ).select(*spec.names)
         outside = stored.filter(~within(F.col(spec.hour), start, end))
         checked = checked.select(*spec.names).unionByName(outside)
-    written = overwrite_partitions(spark, checked, spec, database)
+    expected = _expected_partitions(spec, start, end)
+    written = overwrite_partitions(spark, checked, spec, database, expected=expected)
     stale = set(_partitions_in_range(spark, spec, database, start, end)) - set(written)
     _drop_partitions(spark, spec, database, list(stale))
 
@@ -204,4 +226,5 @@ def upsert_hours(
     checked = enforce_unique(enforce(_inside(updates, spec, start, end), spec), spec)
     stored = read_table(spark, spec, database, _day_start(start), _day_end(end))
     merged = upsert(stored.select(*spec.names), checked, list(spec.key))
-    overwrite_partitions(spark, merged, spec, database)
+    expected = _expected_partitions(spec, start, end)
+    overwrite_partitions(spark, merged, spec, database, expected=expected)
