@@ -6,100 +6,110 @@ grouping, so one pass equals running the hours one by one.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 
 from hourmart import schemas
 from hourmart.functions.timebuckets import Moment, as_hour
 from hourmart.operators.neighbours import SPLIT_ROWS
 from hourmart.plans import core, marts, raw
+from hourmart.schemas import STAGING, TableSpec
 from hourmart.sources.tables import read_table, replace_hours, upsert_hours
 
 REPLACE = "replace"
 UPSERT = "upsert"
 
 
+@dataclass(frozen=True)
+class Run:
+    """The range being computed and how to read stored tables."""
+
+    spark: SparkSession
+    start: datetime
+    end: datetime
+    database: str
+    split_rows: int
+
+    def all(self, spec: TableSpec) -> DataFrame:
+        return read_table(self.spark, spec, self.database)
+
+    def part(self, spec: TableSpec) -> DataFrame:
+        return read_table(self.spark, spec, self.database, self.start, self.end)
+
+    def chain_inputs(self) -> tuple[DataFrame, dict]:
+        browser = self.part(schemas.RAW_BROWSER)
+        sizes = {"split_rows": self.split_rows, "event_rows": browser.count()}
+        return browser, {"start": self.start, "end": self.end, **sizes}
+
+
+def _raw_browser(run: Run) -> DataFrame:
+    # By event time: the rows may be loaded in any hour, before or after.
+    return raw.raw_browser_events(run.all(STAGING["browser_events"]), run.start, run.end)
+
+
+def _buy_product(run: Run) -> DataFrame:
+    browser, options = run.chain_inputs()
+    location, device = run.all(schemas.RAW_LOCATION), run.all(schemas.RAW_DEVICE)
+    return core.core_buy_product(browser, location, device, **options)
+
+
+def _payment_confirm(run: Run) -> DataFrame:
+    browser, options = run.chain_inputs()
+    device, location = run.all(STAGING["device_events"]), run.all(STAGING["location_events"])
+    return core.core_payment_confirm(browser, device, location, **options)
+
+
+# In the order of what reads what.
+STEPS: tuple[tuple[TableSpec, Callable[[Run], DataFrame]], ...] = (
+    (schemas.RAW_BROWSER, _raw_browser),
+    (schemas.RAW_DEVICE, lambda r: raw.raw_device_events(r.part(STAGING["device_events"]))),
+    (schemas.RAW_GEO, lambda r: raw.raw_geo_events(r.part(STAGING["geo_events"]))),
+    (schemas.RAW_LOCATION, lambda r: raw.raw_location_events(r.part(STAGING["location_events"]))),
+    (schemas.CORE_BUY_PRODUCT, _buy_product),
+    (schemas.CORE_PAYMENT, _payment_confirm),
+    (schemas.DM_BUY_PRODUCT, lambda r: marts.dm_buy_product(r.part(schemas.CORE_BUY_PRODUCT))),
+    (schemas.DM_TOP10_PAGE, lambda r: marts.dm_top10_page(r.part(schemas.CORE_BUY_PRODUCT))),
+    (
+        schemas.DM_HOURLY_EVENTS,
+        lambda r: marts.dm_hourly_events(r.all(STAGING["browser_events"]), r.start, r.end),
+    ),
+    (
+        schemas.DM_DIST_EVENTS,
+        lambda r: marts.dm_dist_events(
+            r.part(schemas.CORE_BUY_PRODUCT), r.part(schemas.CORE_PAYMENT)
+        ),
+    ),
+)
+TABLES: tuple[str, ...] = tuple(spec.name for spec, _ in STEPS)
+
+
 def backfill(
     spark: SparkSession,
     start: Moment,
     end: Moment,
     database: str = "default",
     marts_mode: str = REPLACE,
+    tables: Iterable[str] = TABLES,
     split_rows: int = SPLIT_ROWS,
 ) -> None:
-    """Staging to marts over ``[start, end)``.
+    """Compute the given tables (all by default) over ``[start, end)``.
 
-    Raw and purchase core replace the hours. Payment core and marts replace them
+    Raw tables and purchase core replace the hours. Payment core and marts do so
     too, or, with ``marts_mode="upsert"``, update by key and leave stale keys.
     """
     if marts_mode not in (REPLACE, UPSERT):
         raise ValueError(f"marts_mode must be {REPLACE} or {UPSERT}: {marts_mode}")
-    start, end = as_hour(start), as_hour(end)
-    if start >= end:
-        raise ValueError(f"empty range: {start} to {end}")
-
-    def table(spec, first=None, last=None):
-        return read_table(spark, spec, database, first, last)
-
-    def store(rows, spec):
-        replace_hours(spark, rows, spec, start, end, database)
-
-    def store_keyed(rows, spec):
-        write = replace_hours if marts_mode == REPLACE else upsert_hours
-        write(spark, rows, spec, start, end, database)
-
-    staging = schemas.STAGING
-    # Browser rows go by event time and may be loaded in any hour; the other
-    # feeds go by load hour, so their staging partitions are pruned.
-    store(
-        raw.raw_browser_events(table(staging["browser_events"]), start, end),
-        schemas.RAW_BROWSER,
-    )
-    store(
-        raw.raw_device_events(table(staging["device_events"], start, end), start, end),
-        schemas.RAW_DEVICE,
-    )
-    store(
-        raw.raw_geo_events(table(staging["geo_events"], start, end), start, end),
-        schemas.RAW_GEO,
-    )
-    store(
-        raw.raw_location_events(table(staging["location_events"], start, end), start, end),
-        schemas.RAW_LOCATION,
-    )
-
-    browser = table(schemas.RAW_BROWSER, start, end)
-    event_rows = browser.count()
-    store(
-        core.core_buy_product(
-            browser,
-            table(schemas.RAW_LOCATION),
-            table(schemas.RAW_DEVICE),
-            start,
-            end,
-            split_rows=split_rows,
-            event_rows=event_rows,
-        ),
-        schemas.CORE_BUY_PRODUCT,
-    )
-    store_keyed(
-        core.core_payment_confirm(
-            browser,
-            table(staging["device_events"]),
-            table(staging["location_events"]),
-            start,
-            end,
-            split_rows=split_rows,
-            event_rows=event_rows,
-        ),
-        schemas.CORE_PAYMENT,
-    )
-
-    bought = table(schemas.CORE_BUY_PRODUCT, start, end)
-    payments = table(schemas.CORE_PAYMENT, start, end)
-    store_keyed(marts.dm_buy_product(bought), schemas.DM_BUY_PRODUCT)
-    store_keyed(marts.dm_top10_page(bought), schemas.DM_TOP10_PAGE)
-    store_keyed(
-        marts.dm_hourly_events(table(staging["browser_events"]), start, end),
-        schemas.DM_HOURLY_EVENTS,
-    )
-    store_keyed(marts.dm_dist_events(bought, payments), schemas.DM_DIST_EVENTS)
+    wanted = set(tables)
+    if unknown := wanted - set(TABLES):
+        raise ValueError(f"unknown tables: {', '.join(sorted(unknown))}")
+    run = Run(spark, as_hour(start), as_hour(end), database, split_rows)
+    if run.end - run.start < timedelta(hours=1):
+        raise ValueError(f"empty range: {run.start} to {run.end}")
+    for spec, build in STEPS:
+        if spec.name in wanted:
+            by_key = bool(spec.key) and marts_mode == UPSERT
+            write = upsert_hours if by_key else replace_hours
+            write(spark, build(run), spec, run.start, run.end, database)

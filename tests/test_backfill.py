@@ -8,7 +8,10 @@ import pytest
 from conftest import TESTDATA, at, rows_of
 from pyspark.sql import functions as F
 
+from test_landing import put
+
 from hourmart import fixtures, schemas
+from hourmart.__main__ import main
 from hourmart.plans import core, marts, raw
 from hourmart.plans.backfill import backfill
 from hourmart.plans.readiness import hours_ready
@@ -89,6 +92,24 @@ def test_arguments(spark, database):
         backfill(spark, FIRST, FIRST + timedelta(hours=1), database, marts_mode="append")
     with pytest.raises(ValueError, match="empty range"):
         backfill(spark, FIRST, FIRST, database)
+    with pytest.raises(ValueError, match="unknown tables: dm_other"):
+        backfill(spark, FIRST, FIRST + timedelta(hours=1), database, tables=["dm_other"])
+
+
+def test_command_line_lands_and_fills_one_table(spark, tmp_path, database, capsys):
+    event = {"event_id": "e", "click_id": "c", "event_timestamp": "2024-01-01 00:10:00"}
+    put(tmp_path, "browser_events", 0, {"browser_events.jsonl": [event, event]})
+    hour = ["2024-01-01 00:00:00", "2024-01-01 01:00:00"]
+    head = ["--database", database]
+    main([*head, "land", str(tmp_path), "--feeds", "browser_events", "--start", hour[0],
+          "--end", hour[1]])
+    main([*head, "backfill", *hour, "--tables", "dm_hourly_events"])
+    assert rows_of(read_table(spark, schemas.DM_HOURLY_EVENTS, database)) == [
+        ("2", "2024-01-01 00:00:00")
+    ]
+    assert not spark.catalog.tableExists(f"{database}.raw_browser_events")
+    main([*head, "ready", *hour])
+    assert "2024-01-01 00:00:00|2 " in capsys.readouterr().out
 
 
 def test_hours_ready_lists_absent_hours(spark):
