@@ -14,6 +14,13 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.ansi.enabled": "true",
+    # A run over a few million events cuts a large history at the scan by a Bloom
+    # filter of 8 MB; Spark adds it only where the history scan exceeds 10 GB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 import pytest
 from conftest import TESTDATA, at
@@ -15,6 +16,17 @@ from hourmart.sources.tables import overwrite_partitions, read_table
 START, END = "2024-01-01 10:00:00", "2024-01-01 12:00:00"
 
 
+@contextmanager
+def conf(spark, values):
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in values:
+            spark.conf.unset(key)
+
+
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -62,8 +74,7 @@ def test_raw_dedupe_is_one_shuffle_with_a_map_side_pass(stored):
 
 
 def test_chain_windows_share_one_shuffle(spark, stored):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(
             core.core_buy_product(
                 stored(schemas.RAW_BROWSER),
@@ -71,8 +82,6 @@ def test_chain_windows_share_one_shuffle(spark, stored):
                 stored(schemas.RAW_DEVICE),
             )
         )
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(re.findall(r"\bWindow \[", text)) == 2
     # Browser by event, location distinct and by event, both windows and the removal
     # of copies by hour and click, bought views by click, device distinct and by click.
@@ -108,3 +117,22 @@ def test_narrow_run_equals_the_wide_one(stored):
     bounded = core.core_buy_product(*inputs, start="2024-01-01 00:00:00", end=END)
     assert sorted(map(str, bounded.collect())) == sorted(map(str, whole.collect()))
     assert "LeftSemi" in plan(bounded)
+
+
+def test_medium_run_cuts_a_large_history_by_bloom_filter(spark, stored):
+    """With the history-size threshold lowered to that of the fixture."""
+    large = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    with conf(spark, {large: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        rows = core.core_payment_confirm(
+            stored(schemas.RAW_BROWSER, START, END),
+            stored(schemas.STAGING["device_events"]),
+            stored(schemas.STAGING["location_events"]),
+            START,
+            END,
+            event_rows=10_000_000,
+            split_rows=20_000_000,
+        )
+        text = plan(rows)
+    # Both histories are filtered below the removal of copies.
+    assert len(re.findall(r"Filter .*might_contain", text)) == 2
+    assert "LeftSemi" not in text
