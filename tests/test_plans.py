@@ -136,3 +136,38 @@ def test_medium_run_cuts_a_large_history_by_bloom_filter(spark, stored):
     # Both histories are filtered below the removal of copies.
     assert len(re.findall(r"Filter .*might_contain", text)) == 2
     assert "LeftSemi" not in text
+
+
+def test_skewed_joins_are_split(spark):
+    """A third of the events carry one click, another third one event id."""
+    third = 60_000
+    filler = "md5(cast(id AS string))"
+    browser = spark.range(3 * third).selectExpr(
+        f"if(id % 3 = 0, 'hot', {filler}) AS event_id",
+        f"if(id % 3 = 1, 'hot', {filler}) AS click_id",
+        "TIMESTAMP_NTZ'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 3600)"
+        " AS event_timestamp",
+        "'v' AS event_type",
+    )
+    pages = "array('/product_1', '/cart', '/payment', '/confirmation')"
+    location = browser.selectExpr(
+        "event_id", f"element_at({pages}, cast(hash(event_id) & 3 AS int) + 1) AS page_url_path"
+    )
+    device = browser.selectExpr("click_id", "concat('u', click_id) AS user_custom_id")
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with conf(spark, tight):
+        for frame in (
+            core.core_payment_confirm(browser, device, location, event_rows=3 * third),
+            core.core_buy_product(browser, location, device, event_rows=3 * third),
+        ):
+            frame.collect()
+            final = frame._jdf.queryExecution().executedPlan().toString()
+            final = final.split("Initial Plan")[0]
+            assert "SortMergeJoin(skew=true)" in final
