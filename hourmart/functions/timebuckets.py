@@ -29,10 +29,15 @@ def moment_literal(moment: Moment) -> Column:
 
 
 def bucket(ts: Column | str, grain: str = HOUR) -> Column:
-    """Start of the hour (or day) of a plain timestamp."""
+    """Start of the hour (or day) of a plain timestamp.
+
+    A tumbling window is plain arithmetic on a plain timestamp, where truncation
+    would go through the session's time zone and back for every row. Spark takes
+    one window per select and drops rows without a time.
+    """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}: {grain}")
-    return F.date_trunc(grain, ts).cast("timestamp_ntz")
+    return F.window(ts, f"1 {grain}")["start"]
 
 
 def within(ts: Column, start: Moment | None, end: Moment | None) -> Column | None:

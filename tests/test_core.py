@@ -134,6 +134,16 @@ def test_hot_groups_are_found_by_count(spark):
     assert neighbours.find_hot_groups(counts.limit(0), ["g"], 100, split_rows=1).keys is None
 
 
+def test_hot_groups_beyond_the_list_take_the_plain_way(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MAX_HOT_GROUPS", 1)
+    shop = random_shop(3)
+    browser, location, device = shop.dicts()
+    bought = shop.bought(spark, split_rows=20)
+    assert text(bought.collect()) == text(brute.buy_product(browser, location, device))
+    steps = shop.steps(spark, split_rows=20)
+    assert text(steps.collect()) == text(brute.funnel(browser, device, location))
+
+
 def test_chain_does_not_cross_the_hour(spark):
     shop = Shop().user("c", "u")
     shop.visit("1", "c", "10:59:00", "/product_1").visit("2", "c", "11:01:00", "/confirmation")

@@ -37,10 +37,22 @@ def test_round_to_second(spark, text, rounded):
 def test_bucket_grains(spark):
     assert ntz(spark, "2024-01-01 10:59:59.6", fn.bucket("ts")) == at("10:00")
     assert ntz(spark, "2024-01-01 10:59:59.6", fn.bucket("ts", "day")) == at("00:00")
+    assert ntz(spark, "1969-12-31 22:30:00.5", fn.bucket("ts")) == datetime(1969, 12, 31, 22)
+    assert ntz(spark, "1969-12-31 22:30:00.5", fn.bucket("ts", "day")) == datetime(1969, 12, 31)
     with pytest.raises(ValueError):
         fn.bucket("ts", "week")
 
 
+def test_bucket_ignores_the_session_zone(spark):
+    """Half past two did not exist in New York on this day."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = ntz(spark, "2024-03-10 02:30:00", fn.bucket("ts"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == datetime(2024, 3, 10, 2)
+
+
 def test_as_hour():
     assert fn.as_hour("2024-01-01 10:00:00") == at("10:00")
     assert fn.as_hour(datetime(2024, 1, 1, 10, tzinfo=timezone.utc)) == at("10:00")
