@@ -29,6 +29,8 @@ _SUFFIX = ".jsonl"
 _BATCH_LINES = 8192
 _BATCH_BYTES = 8 << 20
 _CORRUPT = "_corrupt_line"
+# Compressed size from which an object's lines are handed on to other tasks.
+LARGE_OBJECT = 128 << 20
 
 
 def object_pattern(feed: str) -> str:
@@ -87,7 +89,7 @@ def with_load_hour(
 ) -> DataFrame:
     """Adds the load hour; the range is a predicate on folder names alone."""
     return in_range(objects, _load_hour(), start, end).select(
-        _load_hour().alias(LOAD_HOUR), "path", "content"
+        _load_hour().alias(LOAD_HOUR), "path", "length", "content"
     )
 
 
@@ -169,16 +171,23 @@ def read_lines(
     return route_members(unzip_lines(scan_objects(spark, root, feed, start, end)))
 
 
-def store_lines(
-    spark: SparkSession, lines: DataFrame, feed: str, root: str, database: str = "default"
+def store_objects(
+    spark: SparkSession, objects: DataFrame, feed: str, root: str, database: str = "default"
 ) -> None:
     """Replace the staging hours found in a feed's objects.
 
+    Usually each task unzips, parses and writes its own objects and nothing is
+    shuffled. If some object is large (the listing tells, no content is read),
+    its one task only unzips and the lines are spread over all tasks.
     The feed's own rows are written in one pass, which also notes what other
     tables the members name. Normally there are none. If there are, each such
     table's hours are rewritten from the objects of all feeds, as its own object
     may hold rows of the same hour.
     """
+    lines = route_members(unzip_lines(objects))
+    uneven = (objects.agg(F.max("length")).first()[0] or 0) >= LARGE_OBJECT
+    if uneven:
+        lines = lines.hint("rebalance")
     known = F.col("table").isin(*FEEDS)
     unknown = F.raise_error(F.concat(F.lit("no feed for member "), "member"))
     checked = lines.withColumn("table", F.when(known, F.col("table")).otherwise(unknown))
@@ -190,7 +199,7 @@ def store_lines(
         F.max(LOAD_HOUR).alias("last"),
     )
     own = parse_feed(noted.filter(F.col("table") == feed), feed)
-    overwrite_partitions(spark, own, STAGING[feed], database, spread=False)
+    overwrite_partitions(spark, own, STAGING[feed], database, spread=uneven)
     found = seen.get
     for other in sorted(set(found["tables"]) - {feed}):
         end = found["last"] + timedelta(hours=1)
@@ -208,7 +217,7 @@ def load_feed(
     database: str = "default",
 ) -> None:
     """Land a feed's objects of a range. Hours without an object keep their rows."""
-    store_lines(spark, read_lines(spark, root, feed, start, end), feed, root, database)
+    store_objects(spark, scan_objects(spark, root, feed, start, end), feed, root, database)
 
 
 load_browser = partial(load_feed, feed="browser_events")

@@ -147,3 +147,13 @@ def test_incremental_landing_sees_each_object_once(spark, tmp_path, database):
     assert land() == {"e1", "e2"}
     landing.load_browser(spark, str(root), database=database)
     assert {r.event_id for r in stored(spark, database).collect()} == {"e9", "e2"}
+
+
+def test_lines_of_a_large_object_are_spread(spark, tmp_path, database, monkeypatch):
+    monkeypatch.setattr(landing, "LARGE_OBJECT", 1)
+    rows = [event(n % 60, browser_name=f"n{n}") for n in range(2000)]
+    put(tmp_path, "browser_events", 10, {"browser_events.jsonl": rows})
+    put(tmp_path, "browser_events", 11, {"browser_events.jsonl": [event(1, 11)]})
+    landing.load_browser(spark, str(tmp_path), database=database)
+    assert stored(spark, database).count() == 2001
+    assert stored(spark, database).filter("browser_name IS NULL").count() == 1
