@@ -14,9 +14,11 @@ each. Only documents over the capacity are cut. An empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,19 @@ END = 1
 PARTS = 256
 
 
+# Words of plain Latin letters and what may follow them: their pieces are known without
+# the tokenizer's own splitting, which takes most of its time.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
+
+def byte_letters() -> list[str]:
+    """The character by which a byte-level vocabulary writes each byte: printable ones
+    stand for themselves, the others for the code points from 256 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b if b in shown else next(others)) for b in range(256)]
+
+
 @lru_cache(maxsize=2)
 def subwords(path: str) -> Subwords:
     return Subwords(path)
@@ -39,38 +54,48 @@ def subwords(path: str) -> Subwords:
 class Subwords:
     """Token ids of texts, word by word: white space always ends a word of this vocabulary.
 
-    Words seen before are looked up; at most ``most`` are remembered.
+    Words seen before are looked up; at most about ``most`` are remembered.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.letters = byte_letters()
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.ids, self.lengths = {}, [], []
+        self.known: dict[bytes, int] = {}
+        self.parts: dict[str, list[int]] = {"": []}
         self.flat = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
+    def part(self, text: str) -> list[int]:
+        """Ids of letters or marks that the vocabulary takes as one piece."""
+        found = self.parts.get(text)
+        if found is None:
+            written = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+            found = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(written)]
+        return found
+
+    def word(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8", "replace")
+        if plain := PLAIN.fullmatch(text):
+            return self.part(plain[1].lower()) + self.part(plain[2])
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def learn(self, words: Iterable[bytes]) -> None:
         if len(self.known) > self.most:
             self.forget()
-        new = [w for w in set(words) if w not in self.known]
+        new = list(set(words).difference(self.known))
         if not new:
             return
-        found = [
-            e.ids
-            for e in self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-            )
-        ]
+        found = list(map(self.word, new))
         size = len(self.known)
         self.known.update(zip(new, range(size, size + len(new))))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.flat = np.concatenate(
-            [self.flat, np.fromiter((i for x in found for i in x), np.int32, lengths.sum())]
-        )
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        self.flat = np.concatenate([self.flat, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
     def encode(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
