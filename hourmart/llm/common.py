@@ -106,3 +106,33 @@ def kgram_hashes(words: np.ndarray, k: int) -> np.ndarray:
         out += words[j : j + n]
     return mix(out)
 
+
+
+def shingles(words: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the k-word shingles of each text and where each text begins in them.
+
+    A text of fewer words is one shingle; one without words has none.
+    """
+    lengths = np.diff(starts)
+    counts = np.where(lengths >= k, lengths - k + 1, np.minimum(lengths, 1))
+    out = np.zeros(len(starts), np.int64)
+    np.cumsum(counts, out=out[1:])
+    places = np.arange(out[-1]) + np.repeat(starts[:-1] - out[:-1], counts)
+    grams = kgram_hashes(np.concatenate([words, np.zeros(k, np.uint64)]), k)
+    found = grams[places]
+    for text in np.flatnonzero((lengths > 0) & (lengths < k)):
+        own = words[starts[text] : starts[text + 1]]
+        found[out[text]] = kgram_hashes(np.append(own, np.uint64(len(own))), len(own) + 1)[0]
+    return found, out
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: smaller than a checkpoint."""
+    spark = frame.sparkSession
+    saved_to = spark.sparkContext.getCheckpointDir()
+    if saved_to is None:
+        saved(spark.range(0))
+        saved_to = spark.sparkContext.getCheckpointDir()
+    path = f"{saved_to}/{uuid.uuid4().hex}.parquet"
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
