@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourmart.llm import mixing, packing, quality
-from hourmart.llm.common import table
+from hourmart.llm import language, mixing, neardup, packing, quality, secretscan, substrings
+from hourmart.llm.common import id_hash, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,13 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -28,13 +36,29 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.report(table(spark, sf_dir, "documents"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), id_hash(4) != 2)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_secrets": op4_secrets,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
+    "op8_language": op8_language,
 }
 ORACLES: dict[str, str] = {}
