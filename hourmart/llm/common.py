@@ -31,19 +31,32 @@ def id_hash(modulus: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
 
 
-def saved(frame: DataFrame) -> DataFrame:
-    """The frame as a checkpoint in ``spark.checkpoint.dir``, which all executors share."""
-    context = frame.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: ``spark.checkpoint.dir``, which all executors share."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = f"file:/tmp/checkpoints/{uuid.uuid4().hex}"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def saved(frame: DataFrame) -> DataFrame:
+    """The frame as a checkpoint in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: smaller than a checkpoint."""
+    path = f"{shared_folder(frame.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 of every text; null is empty."""
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
@@ -124,15 +137,3 @@ def shingles(words: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray,
         own = words[starts[text] : starts[text + 1]]
         found[out[text]] = kgram_hashes(np.append(own, np.uint64(len(own))), len(own) + 1)[0]
     return found, out
-
-
-def stored(frame: DataFrame) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: smaller than a checkpoint."""
-    spark = frame.sparkSession
-    saved_to = spark.sparkContext.getCheckpointDir()
-    if saved_to is None:
-        saved(spark.range(0))
-        saved_to = spark.sparkContext.getCheckpointDir()
-    path = f"{saved_to}/{uuid.uuid4().hex}.parquet"
-    frame.write.parquet(path)
-    return spark.read.parquet(path)

@@ -31,17 +31,19 @@ BUCKETS = 4096
 BLOCK = 1 << 16
 
 
+def _digest() -> Column:
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and the digest that shuffles; the text goes no further."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    digest = F.md5(
-        F.concat_ws("\x00", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
-    )
     return docs.select(
         "doc_id",
         "source",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        digest.alias("digest"),
+        _digest().alias("digest"),
     )
 
 
@@ -168,3 +170,32 @@ def mix(
         F.first("target").alias("target"),
         F.sum("taken").cast("long").alias("taken"),
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows as often as the mix takes them, all columns as they are.
+
+    Rows of one id, source and text are alike to the mix and share its turns one by one.
+    """
+    own = docs.columns
+    mixed = mix(docs, **options).filter("taken > 0").select(
+        F.col("digest").alias("_digest"),
+        F.col("doc_id").alias("_doc_id"),
+        F.col("source").alias("_source"),
+        F.col("copy").alias("_copy"),
+        (F.col("taken") / F.col("size")).cast("int").alias("_times"),
+    )
+    nth = F.row_number().over(
+        Window.partitionBy("_digest", "doc_id", "source").orderBy(F.lit(1))
+    ).cast("long")
+    rows = docs.withColumn("_digest", _digest()).withColumn("_nth", nth).alias("l")
+    right = mixed.alias("r")
+    met = rows.join(
+        right,
+        (F.col("l._digest") == F.col("r._digest"))
+        & F.col("l.doc_id").eqNullSafe(F.col("r._doc_id"))
+        & F.col("l.source").eqNullSafe(F.col("r._source"))
+        & (F.col("l._nth") == F.col("r._copy")),
+    )
+    turns = F.explode(F.sequence(F.lit(1), F.col("r._times")))
+    return met.select(*[F.col(f"l.{c}") for c in own], turns.alias("_turn")).select(*own)

@@ -165,14 +165,14 @@ def _rest(split: DataFrame, content: DataFrame, shingle: int, likeness: float) -
     )
 
 
-def classes(
+def _classes(
     docs: DataFrame,
     likeness: float = LIKENESS,
     shingle: int = SHINGLE,
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """doc_id, class_id, node of every row; ``node`` is the digest of the row's text."""
+    """doc_id, class_id, node (digest of the text), root of the class, whether it has no words."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = saved(
         docs.mapInArrow(
@@ -220,7 +220,7 @@ def classes(
     )
     named = known.join(
         known.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root"
-    ).select("node", "class_id")
+    ).select("node", "root", "class_id")
     # Texts without words are alone.
     alone = F.size("bands") == 0
     return (
@@ -231,25 +231,36 @@ def classes(
             "doc_id",
             F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             "node",
+            "root",
+            "alone",
         )
     )
 
 
+def classes(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id of every row: the least id of the row's class (null if all are null)."""
+    return _classes(docs, **options).select("doc_id", "class_id")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of every class, all columns as they are: a row of the least id.
 
     Rows without words all stay, repeated ones as well.
     """
-    known = classes(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    first = known.groupBy("class_id").agg(F.min("node").alias("node"))
-    node = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    blank = F.coalesce(F.col("text"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
-    own = docs.columns
-    left, right = docs.filter(~blank).withColumn("_node", node).alias("l"), first.alias("r")
-    met = left.join(
-        right,
-        (F.col("l._node") == F.col("r.node"))
-        & F.col("l.doc_id").cast("long").eqNullSafe(F.col("r.class_id")),
-        "left_semi",
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
+    first = (
+        _classes(docs, **options)
+        .filter("NOT alone")
+        .groupBy("root")
+        .agg(least.alias("least"))
+        .select(F.col("least.node").alias("_node"), F.col("least.doc_id").alias("_kept"))
+        .alias("r")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    blank = text.rlike(r"^[\x20\x09-\x0D]*$")
+    left = docs.filter(~blank).withColumn("_node", F.unhex(F.md5(text))).alias("l")
+    met = left.join(first, F.col("l._node") == F.col("r._node")).filter(
+        F.col("l.doc_id").cast("long").eqNullSafe(F.col("r._kept"))
     )
-    return met.dropDuplicates(["_node"]).select(*own).unionByName(docs.filter(blank))
+    one = met.select("l.*").dropDuplicates(["_node"]).drop("_node")
+    return one.unionByName(docs.filter(blank))

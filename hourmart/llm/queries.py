@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import language, mixing, neardup, packing, quality, secretscan, substrings
+from hourmart.llm import (
+    language,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    scoring,
+    secretscan,
+    spotsigs,
+    substrings,
+    toxicity,
+)
 from hourmart.llm.common import id_hash, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,10 +59,23 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(table(spark, sf_dir, "documents"), id_hash(7) != 2, tokenizer())
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), id_hash(4) != 2)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.score(docs, labels, id_hash(5) != 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
@@ -59,6 +83,9 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
+    "op7_scoring": op7_scoring,
     "op8_language": op8_language,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
