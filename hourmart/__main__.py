@@ -57,7 +57,9 @@ def main(given: Sequence[str] | None = None) -> None:
     elif args.job == "backfill":
         backfill(spark, args.start, args.end, args.database, args.marts_mode, args.tables)
     else:
-        staging = {f: read_table(spark, STAGING[f], args.database) for f in FEEDS}
+        staging = {
+            f: read_table(spark, STAGING[f], args.database, args.start, args.end) for f in FEEDS
+        }
         hours = (as_hour(args.end) - as_hour(args.start)) // timedelta(hours=1)
         report = hours_ready(staging, args.start, args.end).orderBy("load_hour")
         report.show(hours, truncate=False)

@@ -1,7 +1,7 @@
 """The registered queries and, for each, the SQL another engine can check it by.
 
-The oracles are written from the definition of each result, not from our plans:
-they join before they remove copies, run every window in full and so on.
+The oracles are written from the definition of each result, not from our plans: they
+hold all views of a group in one sorted list and find neighbours by place in it.
 """
 
 from __future__ import annotations
@@ -38,10 +38,9 @@ _USER_SHARE = 270
 
 
 def _sizes(staging: dict[str, DataFrame], split_share: int | None) -> dict[str, int]:
-    rows = staging["browser_events"].count()
     if split_share is None:
-        return {"event_rows": rows}
-    return {"event_rows": rows, "split_rows": max(20, rows // split_share)}
+        return {}
+    return {"split_rows": max(20, staging["browser_events"].count() // split_share)}
 
 
 def _bought(
@@ -202,67 +201,64 @@ raw_location_events AS (SELECT DISTINCT * FROM stg_location)
 
 
 def _buy_sql(grain: str) -> str:
+    """Product views right before a purchase step, of clicks whose trail comes to a
+    confirmation after its first view."""
     return f"""
-viewed AS (
-  SELECT DISTINCT l.event_id, b.click_id, d.user_custom_id, l.page_url_path, b.event_timestamp,
-         b.event_type, date_trunc('{grain}', b.event_timestamp) AS event_hour
-  FROM raw_location_events l
-  JOIN raw_browser_events b ON b.event_id = l.event_id
-  LEFT JOIN raw_device_events d ON d.click_id = b.click_id),
-followed AS (
-  SELECT *, lead(page_url_path) OVER (
-           PARTITION BY event_hour, click_id, user_custom_id
-           ORDER BY event_timestamp, event_id, page_url_path, event_type) AS next_page
-  FROM viewed),
-chained AS (
-  SELECT *, max(CASE WHEN next_page = '/confirmation' THEN 1 ELSE 0 END)
-           OVER (PARTITION BY event_hour, click_id) AS confirmed
-  FROM followed
-  WHERE next_page IN ('/cart', '/payment', '/confirmation') OR page_url_path = '/confirmation'),
+trails AS (
+  SELECT date_trunc('{grain}', b.event_timestamp) AS event_hour, b.click_id,
+         list_sort(list(DISTINCT {{'at': b.event_timestamp, 'id': b.event_id,
+                                   'page': l.page_url_path, 'kind': b.event_type}})) AS trail
+  FROM raw_browser_events b JOIN raw_location_events l USING (event_id) GROUP BY ALL),
+owners AS (SELECT DISTINCT click_id, user_custom_id FROM raw_device_events),
 bought AS (
-  SELECT click_id, user_custom_id, page_url_path,
-         date_trunc('second', event_timestamp + INTERVAL '500 milliseconds') AS event_timestamp,
-         event_hour
-  FROM chained WHERE page_url_path LIKE '/product_%' AND confirmed = 1)
+  SELECT t.click_id, o.user_custom_id, t.trail[i].page AS page_url_path,
+         date_trunc('second', t.trail[i].at + INTERVAL '500 milliseconds') AS event_timestamp,
+         t.event_hour
+  FROM (SELECT *, unnest(range(1, len(trail))) AS i FROM trails
+        WHERE list_contains([v.page for v in trail[2:]], '/confirmation')) t
+  LEFT JOIN owners o USING (click_id)
+  WHERE t.trail[i].page LIKE '/product_%'
+    AND t.trail[i + 1].page IN ('/cart', '/payment', '/confirmation'))
 """
 
 
 def _funnel_sql(grain: str) -> str:
+    """Of each user's walk, the places of its moves; of these, the ones that end a run of
+    equal scores or confirm; payments straight from adjacent pages."""
     return f"""
-visits AS (
-  SELECT DISTINCT b.click_id, b.event_id, b.event_timestamp, d.user_custom_id,
-         l.page_url_path AS page_path, date_trunc('{grain}', b.event_timestamp) AS event_hour
-  FROM raw_browser_events b
-  LEFT JOIN stg_device d ON d.click_id = b.click_id
-  LEFT JOIN stg_location l ON l.event_id = b.event_id),
-paged AS (
-  SELECT *, lead(page_path) OVER (PARTITION BY event_hour, user_custom_id
-           ORDER BY event_timestamp, event_id, click_id, page_path) AS lead_page_path
-  FROM visits),
-scored AS (
-  SELECT *, CASE
-           WHEN substring(page_path, 2, 7) = 'product' AND lead_page_path = '/cart' THEN 1
-           WHEN page_path = '/cart' AND lead_page_path = '/payment' THEN 2
-           WHEN page_path = '/payment' AND lead_page_path = '/confirmation' THEN 3
-           ELSE 0 END AS score
-  FROM paged),
-moved AS (
-  SELECT *, lead(score) OVER (PARTITION BY event_hour, user_custom_id
-           ORDER BY event_timestamp, event_id, click_id, page_path) AS lead_score
-  FROM scored WHERE score <> 0),
-compared AS (
-  SELECT *, lead_score - score AS diff,
-         CASE WHEN lead_page_path = '/confirmation' AND score = 3 THEN 1 ELSE 0 END AS check_conf
-  FROM moved),
+walks AS (
+  SELECT date_trunc('{grain}', b.event_timestamp) AS event_hour, d.user_custom_id,
+         list_sort(list(DISTINCT {{'at': b.event_timestamp, 'id': b.event_id,
+                                   'click': b.click_id, 'page': l.page_url_path}})) AS walk
+  FROM raw_browser_events b LEFT JOIN stg_device d USING (click_id)
+  LEFT JOIN stg_location l USING (event_id) GROUP BY ALL),
+pairs AS (
+  SELECT *, [coalesce(list_position(['product>/cart', '/cart>/payment', '/payment>/confirmation'],
+               concat(CASE WHEN walk[i].page[2:8] = 'product' THEN 'product'
+                           ELSE walk[i].page END, '>', walk[i + 1].page)), 0)
+             for i in range(1, len(walk))] AS scores
+  FROM walks),
+places AS (SELECT *, [i for i in range(1, len(walk)) if scores[i] > 0] AS moves FROM pairs),
+ends AS (
+  SELECT *, [j for j in range(1, len(moves) + 1)
+             if scores[moves[j]] = 3
+                OR coalesce(scores[moves[j + 1]] <> scores[moves[j]], false)] AS kept
+  FROM places),
 stepped AS (
-  SELECT click_id, event_timestamp, user_custom_id, page_path, lead_page_path, score, lead_score,
-         diff, check_conf, lag(page_path, 2) OVER (PARTITION BY event_hour, user_custom_id
-           ORDER BY event_timestamp, event_id, click_id, page_path) AS lag_product,
-         event_hour
-  FROM compared WHERE diff <> 0 OR check_conf = 1),
+  SELECT walk[moves[kept[k]]].click AS click_id, walk[moves[kept[k]]].at AS event_timestamp,
+         user_custom_id, walk[moves[kept[k]]].page AS page_path,
+         walk[moves[kept[k]] + 1].page AS lead_page_path, scores[moves[kept[k]]] AS score,
+         scores[moves[kept[k] + 1]] AS lead_score,
+         scores[moves[kept[k] + 1]] - scores[moves[kept[k]]] AS diff,
+         (scores[moves[kept[k]]] = 3)::INT AS check_conf,
+         CASE WHEN k > 2 THEN walk[moves[kept[k - 2]]].page END AS lag_product, event_hour
+  FROM (SELECT *, unnest(range(1, len(kept) + 1)) AS k FROM ends) e),
 paid AS (
-  SELECT event_hour AS event_timestamp, count(*) AS count_payment, count(*) AS count_confirmation
-  FROM stepped WHERE lead_page_path = '/confirmation' GROUP BY event_hour)
+  SELECT event_hour AS event_timestamp, n AS count_payment, n AS count_confirmation
+  FROM (SELECT event_hour, sum(len([i for i in range(1, len(walk))
+                 if walk[i].page = '/payment' AND walk[i + 1].page = '/confirmation']))::BIGINT AS n
+        FROM walks GROUP BY event_hour) c
+  WHERE n > 0)
 """
 
 
@@ -302,9 +298,10 @@ def _day_top10() -> str:
 
 
 def _renamed(sql: str, prefix: str) -> str:
-    for name in ("viewed", "followed", "chained", "bought", "top10"):
+    for name in ("trails", "owners", "bought", "top10"):
         sql = sql.replace(f"{name} AS (", f"{prefix}{name} AS (")
         sql = sql.replace(f"FROM {name}", f"FROM {prefix}{name}")
+        sql = sql.replace(f"JOIN {name}", f"JOIN {prefix}{name}")
     return sql
 
 

@@ -2,10 +2,11 @@
 
 A window sorts each group in one task. That is fine until one group (the events
 without a user, a crawler's click) holds a large share of the rows. Such hot
-groups are found by a count, taken out of the plain plan, and cut into slots:
-consecutive ranges of the group's own order, many per group, each a separate
-window. A slot's edge then gets its neighbour from a summary with one row per
-slot. Both ways give the same rows.
+groups are found by a count of the rows the window would see, taken out of the
+plain plan, and cut into slots: consecutive ranges of the group's own order, many
+per group, each a separate window. A slot's edge then gets its neighbour from a
+summary with one row per slot. Both ways give the same rows, and nothing limits
+how many groups are hot or how many slots they need.
 """
 
 from __future__ import annotations
@@ -20,42 +21,36 @@ from pyspark.sql import functions as F
 
 # A group with at least this many rows is hot; also the aim for rows per slot.
 SPLIT_ROWS = 1_000_000
-# Only the largest groups are treated as hot. Any group left out is smaller than
-# one part in this many of all rows, which a plain window task can hold.
-MAX_HOT_GROUPS = 10_000
-MAX_SLOTS = 20_000
+# Up to so many hot keys are broadcast: with keys of at most 90 bytes, some 10 MB.
+LISTED_GROUPS = 100_000
+# Beyond, the rows of a hot group meet its key in so many tasks.
+SALTS = 64
 SLOT = "_slot"
 
 
 @dataclass(frozen=True)
 class HotGroups:
-    """All rows counted, and the hot keys with their rows if there are any."""
+    """The hot keys (no frame if there are none), how many they are, and their rows."""
 
-    total_rows: int
-    hot_rows: int = 0
     keys: DataFrame | None = None
+    number: int = 0
+    rows: int = 0
 
 
 def find_hot_groups(
-    counts: DataFrame, keys: list[str], total_rows: int, split_rows: int = SPLIT_ROWS
+    counts: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS
 ) -> HotGroups:
-    """Hot groups from per-group counts (``keys`` plus ``n``).
+    """Hot groups from per-group counts (``keys`` plus ``n``), counted once.
 
-    No group can be hot if all rows together are few. Otherwise one aggregate row
-    tells whether any group is, and only then the hot keys, at most
-    ``MAX_HOT_GROUPS`` of them, are fetched.
+    The keys stay a distributed frame; only their number and the sum of their rows
+    come to the driver.
     """
-    if total_rows < split_rows or (counts.agg(F.max("n")).first()[0] or 0) < split_rows:
-        return HotGroups(total_rows)
-    largest = (
-        counts.filter(F.col("n") >= split_rows)
-        .orderBy(F.col("n").desc(), *keys)
-        .limit(MAX_HOT_GROUPS)
-        .select(*keys, "n")
-    )
-    rows = largest.collect()
-    fetched = counts.sparkSession.createDataFrame(rows, schema=largest.schema).select(*keys)
-    return HotGroups(total_rows, sum(row["n"] for row in rows), fetched)
+    use_checkpoint_folder(counts.sparkSession)
+    hot = counts.filter(F.col("n") >= split_rows).select(*keys, "n").checkpoint()
+    found = hot.agg(F.count(F.lit(1)).alias("number"), F.sum("n").alias("rows")).first()
+    if not found["number"]:
+        return HotGroups()
+    return HotGroups(hot.select(*keys), found["number"], found["rows"])
 
 
 def _renamed(groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,16 +61,27 @@ def _same_group(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
 
 
-def without_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows outside the given groups, of which there are at most MAX_HOT_GROUPS."""
-    listed = F.broadcast(_renamed(groups, keys))
-    return rows.join(listed, _same_group(keys), "left_anti")
+def _against(rows: DataFrame, groups: HotGroups, keys: list[str], how: str) -> DataFrame:
+    listed = _renamed(groups.keys, keys)
+    if groups.number <= LISTED_GROUPS:
+        return rows.join(F.broadcast(listed), _same_group(keys), how)
+    # Too many for a broadcast: the hot side is salted, its few columns are repeated.
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salted = rows.withColumn("_salt", salt)
+    repeated = listed.withColumn("_g_salt", salts)
+    same = _same_group(keys) & (F.col("_salt") == F.col("_g_salt"))
+    return salted.join(repeated, same, how).drop("_salt")
+
+
+def without_groups(rows: DataFrame, groups: HotGroups, keys: list[str]) -> DataFrame:
+    """Rows outside the given groups."""
+    return _against(rows, groups, keys, "left_anti")
 
 
-def within_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the given groups, of which there are at most MAX_HOT_GROUPS."""
-    listed = F.broadcast(_renamed(groups, keys))
-    return rows.join(listed, _same_group(keys), "left_semi")
+def within_groups(rows: DataFrame, groups: HotGroups, keys: list[str]) -> DataFrame:
+    """Rows of the given groups."""
+    return _against(rows, groups, keys, "left_semi")
 
 
 def use_checkpoint_folder(spark: SparkSession) -> None:
@@ -105,7 +111,7 @@ def place_in_slots(
     checkpointed: every later step, and every retry, sees the same slots.
     """
     use_checkpoint_folder(rows.sparkSession)
-    slots = min(MAX_SLOTS, max(2, math.ceil(hot_rows / split_rows) * 2))
+    slots = max(2, math.ceil(hot_rows / split_rows) * 2)
     placed = rows.repartitionByRange(slots, *keys, *order).withColumn(
         SLOT, F.spark_partition_id()
     )

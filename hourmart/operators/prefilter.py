@@ -14,7 +14,7 @@ def keep_matching(
     wanted: DataFrame,
     key: str,
     wanted_rows: int,
-    limit: int = BROADCAST_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """History rows whose key occurs in ``wanted``, if ``wanted`` is small.
 
@@ -24,7 +24,7 @@ def keep_matching(
     join that follows does the same work with a shuffle. Both give one result,
     as that join drops or ignores unmatched history rows anyway.
     """
-    if wanted_rows > limit:
+    if wanted_rows > (BROADCAST_ROWS if limit is None else limit):
         return history
     keys = wanted.filter(F.col(key).isNotNull()).select(key).distinct()
     return history.join(F.broadcast(keys), key, "left_semi")

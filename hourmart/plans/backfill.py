@@ -41,8 +41,7 @@ class Run:
 
     def chain_inputs(self) -> tuple[DataFrame, dict]:
         browser = self.part(schemas.RAW_BROWSER)
-        sizes = {"split_rows": self.split_rows, "event_rows": browser.count()}
-        return browser, {"start": self.start, "end": self.end, **sizes}
+        return browser, {"start": self.start, "end": self.end, "split_rows": self.split_rows}
 
 
 def _raw_browser(run: Run) -> DataFrame:

@@ -4,8 +4,8 @@ The hour is part of every window group, so a chain never crosses an hour edge
 and one pass over a range equals hour-by-hour runs. Events at one instant are
 ordered by their remaining columns.
 
-``split_rows`` is the size from which a window group is split. ``event_rows`` is
-an upper bound on the browser events of the range; without it they are counted.
+``split_rows`` is the size from which a window group is split, counted with all
+pages of an event, as the windows see it.
 """
 
 from __future__ import annotations
@@ -41,20 +41,18 @@ EVENT_HOUR = "event_hour"
 
 @dataclass(frozen=True)
 class _Events:
-    """Browser events of a range, an upper bound on their number, and whether the
-    range leaves any out."""
+    """Browser events of a range, and their number if the range leaves any out."""
 
     rows: DataFrame
-    at_most: int
-    bounded: bool
+    counted: int | None
 
     def lookup(self, history: DataFrame, key: str, value: str) -> DataFrame:
         """Distinct (key, value) of a whole history, copies removed before the
         join: one click or event may be stored under many load hours. A run over
         a range that holds few events first cuts the history to their keys."""
         pairs = history.select(key, value)
-        if self.bounded:
-            pairs = keep_matching(pairs, self.rows, key, self.at_most)
+        if self.counted is not None:
+            pairs = keep_matching(pairs, self.rows, key, self.counted)
         return distinct_pairs(pairs, key, value)
 
 
@@ -64,7 +62,6 @@ def _events(
     start: Moment | None,
     end: Moment | None,
     grain: str,
-    at_most: int | None,
 ) -> _Events:
     rows = (
         in_range(browser, "event_timestamp", start, end)
@@ -72,7 +69,7 @@ def _events(
         .withColumn(EVENT_HOUR, bucket("event_timestamp", grain))
     )
     bounded = start is not None or end is not None
-    return _Events(rows, rows.count() if at_most is None else at_most, bounded)
+    return _Events(rows, rows.count() if bounded else None)
 
 
 # --- purchase chains ---------------------------------------------------------
@@ -101,13 +98,15 @@ def _bought_views(views: DataFrame) -> DataFrame:
 
 
 def _bought_views_of_hot_clicks(views: DataFrame, hot_rows: int, split_rows: int) -> DataFrame:
-    """Slot way. The confirmed clicks are among the hot ones, so few."""
+    """Slot way."""
     unique = views.select(*CHAIN_COLUMNS).distinct()
     placed = place_in_slots(unique, CHAIN_GROUP, CHAIN_ORDER, hot_rows, split_rows)
     steps = _next_pages(placed)
     confirmed = steps.filter(F.col("next_url_path") == CONFIRMATION).select(*CHAIN_GROUP).distinct()
     products = steps.filter(is_product_like(F.col("page_url_path")))
-    return within_groups(products, confirmed, CHAIN_GROUP)
+    flags = confirmed.withColumnsRenamed({key: f"_c_{key}" for key in CHAIN_GROUP})
+    same = [F.col(key).eqNullSafe(F.col(f"_c_{key}")) for key in CHAIN_GROUP]
+    return products.join(flags, same[0] & same[1], "left_semi")
 
 
 def core_buy_product(
@@ -118,7 +117,6 @@ def core_buy_product(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
-    event_rows: int | None = None,
 ) -> DataFrame:
     """Product views whose next page is a purchase step, in clicks that reached
     the confirmation within the hour. Reads the raw tables.
@@ -128,20 +126,21 @@ def core_buy_product(
     few bought views instead of to every event.
     """
     columns = ["event_id", "click_id", "event_timestamp", "event_type"]
-    found = _events(browser, columns, start, end, grain, event_rows)
+    found = _events(browser, columns, start, end, grain)
     events = found.rows
     pages = found.lookup(location, "event_id", "page_url_path")
     users = found.lookup(device, "click_id", "user_custom_id")
-    counts = events.groupBy(*CHAIN_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    hot = find_hot_groups(counts, CHAIN_GROUP, found.at_most, split_rows)
+    views = events.join(pages, "event_id")
+    counts = views.groupBy(*CHAIN_GROUP).agg(F.count(F.lit(1)).alias("n"))
+    hot = find_hot_groups(counts, CHAIN_GROUP, split_rows)
 
     if hot.keys is None:
-        bought = _bought_views(events.join(pages, "event_id"))
+        bought = _bought_views(views)
     else:
-        plain = without_groups(events, hot.keys, CHAIN_GROUP).join(pages, "event_id")
-        large = within_groups(events, hot.keys, CHAIN_GROUP).join(pages, "event_id")
+        plain = without_groups(events, hot, CHAIN_GROUP).join(pages, "event_id")
+        large = within_groups(events, hot, CHAIN_GROUP).join(pages, "event_id")
         bought = _bought_views(plain).select(*CHAIN_COLUMNS).unionByName(
-            _bought_views_of_hot_clicks(large, hot.hot_rows, split_rows).select(*CHAIN_COLUMNS)
+            _bought_views_of_hot_clicks(large, hot.rows, split_rows).select(*CHAIN_COLUMNS)
         )
     return bought.join(users, "click_id", "left").select(
         "click_id",
@@ -167,22 +166,27 @@ def _funnel_rows(
     end: Moment | None,
     grain: str,
     split_rows: int,
-    event_rows: int | None,
 ) -> list[DataFrame]:
     """Distinct events with user and page, ready for windows: the plain groups,
     and the hot ones placed in slots if there are any."""
     columns = ["event_id", "click_id", "event_timestamp"]
-    found = _events(browser, columns, start, end, grain, event_rows)
+    found = _events(browser, columns, start, end, grain)
     events = found.rows
     users = found.lookup(device, "click_id", "user_custom_id")
     pages = found.lookup(location, "event_id", "page_url_path").withColumnRenamed(
         "page_url_path", "page_path"
     )
-    clicks = events.groupBy(EVENT_HOUR, "click_id").agg(F.count(F.lit(1)).alias("n"))
+    # Each event counts once for each of its pages.
+    weights = pages.groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
+    clicks = (
+        events.join(weights, "event_id", "left")
+        .groupBy(EVENT_HOUR, "click_id")
+        .agg(F.sum(F.coalesce("w", F.lit(1))).alias("n"))
+    )
     counts = (
         clicks.join(users, "click_id", "left").groupBy(*FUNNEL_GROUP).agg(F.sum("n").alias("n"))
     )
-    hot = find_hot_groups(counts, FUNNEL_GROUP, found.at_most, split_rows)
+    hot = find_hot_groups(counts, FUNNEL_GROUP, split_rows)
 
     def with_page(rows: DataFrame) -> DataFrame:
         return rows.join(pages, "event_id", "left").select(*FUNNEL_COLUMNS)
@@ -191,11 +195,11 @@ def _funnel_rows(
     if hot.keys is None:
         plain = with_page(with_user)
         return [plain.repartition(*FUNNEL_GROUP).dropDuplicates(FUNNEL_COLUMNS)]
-    plain = with_page(without_groups(with_user, hot.keys, FUNNEL_GROUP))
-    large = with_page(within_groups(with_user, hot.keys, FUNNEL_GROUP)).distinct()
+    plain = with_page(without_groups(with_user, hot, FUNNEL_GROUP))
+    large = with_page(within_groups(with_user, hot, FUNNEL_GROUP)).distinct()
     return [
         plain.repartition(*FUNNEL_GROUP).dropDuplicates(FUNNEL_COLUMNS),
-        place_in_slots(large, FUNNEL_GROUP, FUNNEL_ORDER, hot.hot_rows, split_rows),
+        place_in_slots(large, FUNNEL_GROUP, FUNNEL_ORDER, hot.rows, split_rows),
     ]
 
 
@@ -203,6 +207,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+# The columns of the funnel's moves.
 STEP_COLUMNS = [
     "click_id", "event_timestamp", "user_custom_id", "page_path", "lead_page_path", "score",
     "lead_score", "diff", "check_conf", "lag_product", EVENT_HOUR,
@@ -233,12 +238,11 @@ def funnel_steps(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
-    event_rows: int | None = None,
 ) -> DataFrame:
     """Funnel moves per user and hour: scored 1-3, repeats collapsed to the last,
     with the page two moves back. Reads raw browser, staging device and location.
     """
-    parts = _funnel_rows(browser, device, location, start, end, grain, split_rows, event_rows)
+    parts = _funnel_rows(browser, device, location, start, end, grain, split_rows)
     return _union([_steps(part) for part in parts])
 
 
@@ -257,7 +261,6 @@ def core_payment_confirm(
     end: Moment | None = None,
     grain: str = HOUR,
     split_rows: int = SPLIT_ROWS,
-    event_rows: int | None = None,
 ) -> DataFrame:
     """Confirmed payments per hour.
 
@@ -268,7 +271,7 @@ def core_payment_confirm(
     near = Neighbours(FUNNEL_GROUP, FUNNEL_ORDER)
     parts = []
     for rows in _funnel_rows(
-        browser, device, location, start, end, grain, split_rows, event_rows
+        browser, device, location, start, end, grain, split_rows
     ):
         paged = near.shift(rows, "page_path", 1, "lead_page_path")
         paid = (F.col("page_path") == PAYMENT) & (F.col("lead_page_path") == CONFIRMATION)

@@ -139,7 +139,6 @@ CORE_PAYMENT = TableSpec(
     hour="event_timestamp",
     required=("event_timestamp",),
     key=("event_timestamp",),
-    partitions=("dt",),
 )
 
 # Marts.
@@ -149,7 +148,6 @@ DM_BUY_PRODUCT = TableSpec(
     hour="event_timestamp",
     required=("event_timestamp", "count_buy_product"),
     key=("event_timestamp",),
-    partitions=("dt",),
 )
 DM_TOP10_PAGE = TableSpec(
     name="dm_top10_page",
@@ -157,7 +155,6 @@ DM_TOP10_PAGE = TableSpec(
     hour="event_timestamp",
     required=("event_timestamp", "page_url_path", "count_page_url_path"),
     key=("event_timestamp", "page_url_path"),
-    partitions=("dt",),
 )
 DM_HOURLY_EVENTS = TableSpec(
     name="dm_hourly_events",
@@ -165,7 +162,6 @@ DM_HOURLY_EVENTS = TableSpec(
     hour="event_hour",
     required=("event_hour", "event_count"),
     key=("event_hour",),
-    partitions=("dt",),
 )
 DM_DIST_EVENTS = TableSpec(
     name="dm_dist_events",
@@ -175,7 +171,6 @@ DM_DIST_EVENTS = TableSpec(
     hour="event_timestamp",
     required=("event_timestamp",),
     key=("event_timestamp",),
-    partitions=("dt",),
 )
 
 RAW: tuple[TableSpec, ...] = (RAW_BROWSER, RAW_DEVICE, RAW_GEO, RAW_LOCATION)

@@ -14,6 +14,8 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.ansi.enabled": "true",
+    # Writes replace the partitions they have rows for; the writer checks that it is set.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Checkpoints of split groups go when no plan refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # A run over a few million events cuts a large history at the scan by a Bloom

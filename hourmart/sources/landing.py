@@ -43,7 +43,7 @@ def object_key(feed: str, hour: Moment) -> str:
 
 
 def _listed_folders(root: str, start: Moment | None, end: Moment | None) -> str:
-    """Folders to list: the touched days, months or years of a closed range, so
+    """Folders to list: the touched days or months of a closed range, so
     that listing does not walk the whole bucket."""
     if start is None or end is None:
         return root
@@ -60,6 +60,11 @@ def _load_hour():
     return F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
 
 
+def _exists(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def scan_objects(
     spark: SparkSession,
     root: str,
@@ -67,8 +72,8 @@ def scan_objects(
     start: Moment | None = None,
     end: Moment | None = None,
 ) -> DataFrame:
-    """A feed's objects with their load hour. A range without any folder is empty;
-    every other error is raised."""
+    """A feed's objects with their load hour. A range without any folder is empty if
+    the root is there; a missing root, like every other error, is raised."""
     reader = (
         spark.read.format("binaryFile")
         .schema(OBJECT_SCHEMA)
@@ -78,7 +83,7 @@ def scan_objects(
     try:
         objects = reader.load(_listed_folders(root, start, end))
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND" or not _exists(spark, root):
             raise
         objects = spark.createDataFrame([], OBJECT_SCHEMA)
     return with_load_hour(objects, start, end)

@@ -1,14 +1,13 @@
-"""Stored tables: Parquet, partitioned by day and hour (facts) or day (marts).
+"""Stored tables: Parquet, partitioned by day and hour.
 
 A write overwrites exactly the partitions it holds rows for. Spark moves the new
 files in when the whole job has succeeded, so a failed write, a broken contract
-included, leaves the table as it was; reruns give the same table.
+included, leaves the table as it was; reruns give the same table. No hour shares a
+partition with another, so writers of different hours may run side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -80,34 +79,15 @@ def read_table(
     """
     rows = spark.table(ensure_table(spark, spec, database))
     if start is not None or end is not None:
-        pruned = _hours(start, end) if "hr" in spec.partitions else _days(start, end)
-        rows = in_range(rows.filter(pruned), spec.hour, start, end)
+        rows = in_range(rows.filter(_hours(start, end)), spec.hour, start, end)
     return rows.drop(*spec.partitions)
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
-def _write_settings(spark: SparkSession, expected: int) -> dict[str, str]:
-    values = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-    if expected > spark.sparkContext.defaultParallelism:
-        # Opening a file costs more than a small task: with many partitions to
-        # write, small shuffle blocks are not merged into few tasks that would
-        # each write file after file. Large ones are split as ever.
-        values["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
-    return values
+def _require_dynamic(spark: SparkSession) -> None:
+    """Any other mode would overwrite the whole table."""
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    if mode.lower() != "dynamic":
+        raise RuntimeError("set spark.sql.sources.partitionOverwriteMode to dynamic to write")
 
 
 def overwrite_partitions(
@@ -116,15 +96,14 @@ def overwrite_partitions(
     spec: TableSpec,
     database: str = "default",
     spread: bool = True,
-    expected: int = 1,
 ) -> list[tuple]:
     """Replace the partitions the rows fall into; returns those partitions.
 
     ``spread`` regroups rows by partition, so that an hour becomes few files,
     and a very large hour is shared by several tasks. The partitions are noted
-    during the write: one entry an hour or day of the range, of which there are
-    about ``expected``.
+    during the write: one entry an hour of the range.
     """
+    _require_dynamic(spark)
     name = ensure_table(spark, spec, database)
     hidden = {column: F.expr(expression) for column, _, expression in spec.hidden}
     placed = rows.select(*spec.names).withColumns(hidden | _partition_columns(spec))
@@ -133,8 +112,7 @@ def overwrite_partitions(
     # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
-    with _settings(spark, _write_settings(spark, expected)):
-        noted.write.insertInto(name, overwrite=True)
+    noted.write.insertInto(name, overwrite=True)
     return [tuple(row) for row in seen.get["partitions"]]
 
 
@@ -147,8 +125,7 @@ def _partitions_in_range(
         .alias(name)
         for name in spec.partitions
     ]
-    pruned = _hours(start, end) if "hr" in spec.partitions else _days(start, end)
-    return [tuple(row) for row in listed.select(*values).filter(pruned).collect()]
+    return [tuple(row) for row in listed.select(*values).filter(_hours(start, end)).collect()]
 
 
 def _drop_partitions(
@@ -166,11 +143,6 @@ def _drop_partitions(
     )
 
 
-def _expected_partitions(spec: TableSpec, start: Moment, end: Moment) -> int:
-    hours = (as_hour(end) - as_hour(start)) // timedelta(hours=1)
-    return hours if "hr" in spec.partitions else hours // 24 + 1
-
-
 def _inside(rows: DataFrame, spec: TableSpec, start: Moment, end: Moment) -> DataFrame:
     """A row outside the range would overwrite hours that are not its own."""
     inside = F.coalesce(within(F.col(spec.hour), start, end), F.lit(False))
@@ -191,27 +163,11 @@ def replace_hours(
     rows ends up empty."""
     ensure_table(spark, spec, database)
     checked = enforce_unique(enforce(_inside(rows, spec, start, end), spec), spec)
-    if "hr" not in spec.partitions:
-        # A day partition may hold hours outside the range: carry them over.
-        stored = read_table(
-            spark, spec, database, _day_start(start), _day_end(end)
-        ).select(*spec.names)
-        outside = stored.filter(~within(F.col(spec.hour), start, end))
-        checked = checked.select(*spec.names).unionByName(outside)
-    expected = _expected_partitions(spec, start, end)
-    written = overwrite_partitions(spark, checked, spec, database, expected=expected)
+    written = overwrite_partitions(spark, checked, spec, database)
     stale = set(_partitions_in_range(spark, spec, database, start, end)) - set(written)
     _drop_partitions(spark, spec, database, list(stale))
 
 
-def _day_start(moment: Moment) -> Moment:
-    return as_hour(moment).replace(hour=0)
-
-
-def _day_end(moment: Moment) -> Moment:
-    return _day_start(as_hour(moment) - timedelta(hours=1)) + timedelta(days=1)
-
-
 def upsert_hours(
     spark: SparkSession,
     updates: DataFrame,
@@ -221,10 +177,9 @@ def upsert_hours(
     database: str = "default",
 ) -> None:
     """Update or insert by key within ``[start, end)``. Stored keys without an
-    update stay, those of the same hour too. Only the touched days are rewritten."""
+    update stay, those of the same hour too. Only the touched hours are rewritten."""
     ensure_table(spark, spec, database)
     checked = enforce_unique(enforce(_inside(updates, spec, start, end), spec), spec)
-    stored = read_table(spark, spec, database, _day_start(start), _day_end(end))
+    stored = read_table(spark, spec, database, start, end)
     merged = upsert(stored.select(*spec.names), checked, list(spec.key))
-    expected = _expected_partitions(spec, start, end)
-    overwrite_partitions(spark, merged, spec, database, expected=expected)
+    overwrite_partitions(spark, merged, spec, database)

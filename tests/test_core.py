@@ -127,21 +127,44 @@ def test_one_hot_user_is_cut_into_slots(spark):
 
 def test_hot_groups_are_found_by_count(spark):
     counts = spark.createDataFrame([("a", 5), (None, 50), ("b", 60)], "g STRING, n LONG")
-    hot = neighbours.find_hot_groups(counts, ["g"], 115, split_rows=50)
+    hot = neighbours.find_hot_groups(counts, ["g"], split_rows=50)
     assert {row.g for row in hot.keys.collect()} == {None, "b"}
-    assert hot.hot_rows == 110
-    assert neighbours.find_hot_groups(counts, ["g"], 115, split_rows=61).keys is None
-    assert neighbours.find_hot_groups(counts.limit(0), ["g"], 100, split_rows=1).keys is None
+    assert (hot.number, hot.rows) == (2, 110)
+    assert neighbours.find_hot_groups(counts, ["g"], split_rows=61).keys is None
+    assert neighbours.find_hot_groups(counts.limit(0), ["g"], split_rows=1).keys is None
 
 
-def test_hot_groups_beyond_the_list_take_the_plain_way(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "MAX_HOT_GROUPS", 1)
+def test_more_hot_groups_than_a_broadcast_holds_are_all_split(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LISTED_GROUPS", 1)
+    placed = []
+    place = core.place_in_slots
+    monkeypatch.setattr(core, "place_in_slots", lambda *a: placed.append(place(*a)) or placed[-1])
     shop = random_shop(3)
     browser, location, device = shop.dicts()
     bought = shop.bought(spark, split_rows=20)
     assert text(bought.collect()) == text(brute.buy_product(browser, location, device))
     steps = shop.steps(spark, split_rows=20)
     assert text(steps.collect()) == text(brute.funnel(browser, device, location))
+    groups = [p.select(*k).distinct().count() for p, k in zip(placed, (core.CHAIN_GROUP, core.FUNNEL_GROUP))]
+    assert len(groups) == 2 and min(groups) > 1
+
+
+def test_an_event_with_many_pages_makes_its_group_hot(spark, monkeypatch):
+    """One view, 60 pages: the window sees 60 rows."""
+    shop = Shop().user("c", "u")
+    shop.visit("e", "c", "10:00:00", "/product_1")
+    for number in range(59):
+        shop.location.append(("e", f"/product_{number + 2}"))
+    shop.visit("f", "c", "10:01:00", "/confirmation")
+    browser, location, device = shop.dicts()
+    calls = []
+    place = core.place_in_slots
+    monkeypatch.setattr(core, "place_in_slots", lambda *a: calls.append(1) or place(*a))
+    bought = shop.bought(spark, split_rows=50)
+    assert text(bought.collect()) == text(brute.buy_product(browser, location, device))
+    steps = shop.steps(spark, split_rows=50)
+    assert text(steps.collect()) == text(brute.funnel(browser, device, location))
+    assert len(calls) == 2
 
 
 def test_chain_does_not_cross_the_hour(spark):

@@ -9,6 +9,7 @@ import pytest
 from conftest import TESTDATA, at
 
 from hourmart import fixtures, schemas
+from hourmart.operators import prefilter
 from hourmart.operators.prefilter import keep_matching
 from hourmart.plans import core, marts, raw
 from hourmart.sources.tables import overwrite_partitions, read_table
@@ -119,8 +120,9 @@ def test_narrow_run_equals_the_wide_one(stored):
     assert "LeftSemi" in plan(bounded)
 
 
-def test_medium_run_cuts_a_large_history_by_bloom_filter(spark, stored):
+def test_medium_run_cuts_a_large_history_by_bloom_filter(spark, stored, monkeypatch):
     """With the history-size threshold lowered to that of the fixture."""
+    monkeypatch.setattr(prefilter, "BROADCAST_ROWS", -1)
     large = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     with conf(spark, {large: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
         rows = core.core_payment_confirm(
@@ -129,8 +131,6 @@ def test_medium_run_cuts_a_large_history_by_bloom_filter(spark, stored):
             stored(schemas.STAGING["location_events"]),
             START,
             END,
-            event_rows=10_000_000,
-            split_rows=20_000_000,
         )
         text = plan(rows)
     # Both histories are filtered below the removal of copies.
@@ -164,8 +164,8 @@ def test_skewed_joins_are_split(spark):
     }
     with conf(spark, tight):
         for frame in (
-            core.core_payment_confirm(browser, device, location, event_rows=3 * third),
-            core.core_buy_product(browser, location, device, event_rows=3 * third),
+            core.core_payment_confirm(browser, device, location),
+            core.core_buy_product(browser, location, device),
         ):
             frame.collect()
             final = frame._jdf.queryExecution().executedPlan().toString()

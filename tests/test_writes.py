@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import at
 
@@ -79,7 +81,7 @@ def test_broken_contract_leaves_the_table(spark, database):
     assert clicks(spark, database) == ["a"]
 
 
-def test_day_partitioned_replace_keeps_the_other_hours_of_the_day(spark, database):
+def test_replace_keeps_the_other_hours_of_the_day(spark, database):
     tables.replace_hours(
         spark, top_rows(spark, ("10:00", "/a", 1), ("11:00", "/b", 2)), TOP, TEN, NOON, database
     )
@@ -112,6 +114,34 @@ def test_upsert_with_a_doubled_key_stops(spark, database):
         tables.upsert_hours(spark, rows, TOP, TEN, ELEVEN, database)
 
 
+@pytest.mark.parametrize("write", [tables.replace_hours, tables.upsert_hours])
+def test_hours_of_one_day_written_side_by_side(spark, database, write):
+    tables.ensure_table(spark, TOP, database)
+    hours = [f"{h:02d}" for h in range(4, 8)]
+
+    def one(hour):
+        end = f"2024-01-01 {int(hour) + 1:02d}:00:00"
+        rows = top_rows(spark, (f"{hour}:00", f"/{hour}", 1))
+        write(spark, rows, TOP, f"2024-01-01 {hour}:00:00", end, database)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, hours))
+    spark.catalog.refreshTable(f"{database}.{TOP.name}")
+    assert [page for _, page, _ in content(spark, TOP, database)] == [f"/{h}" for h in hours]
+
+
+def test_no_write_without_dynamic_overwrite(spark, database):
+    tables.replace_hours(spark, core_rows(spark, ("a", "10:05")), CORE, TEN, ELEVEN, database)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "static")
+    try:
+        with pytest.raises(RuntimeError, match="dynamic"):
+            tables.replace_hours(spark, core_rows(spark, ("b", "11:05")), CORE, ELEVEN, NOON, database)
+    finally:
+        spark.conf.set(key, "dynamic")
+    assert clicks(spark, database) == ["a"]
+
+
 def test_pure_merges(spark):
     target = top_rows(spark, ("10:00", "/a", 1), ("11:00", "/a", 1))
     updates = target.filter("hour(event_timestamp) = 11").selectExpr(
