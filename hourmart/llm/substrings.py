@@ -32,7 +32,7 @@ GRAM = 8
 # Places that share a hash; beyond, its windows are routed one by one.
 HOT = 10_000
 # Words of one index, unless one hash alone has more.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
