@@ -11,6 +11,7 @@ from hourmart.llm import (
     language,
     mixing,
     neardup,
+    oracles,
     packing,
     quality,
     scoring,
@@ -88,4 +89,8 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_substrings": oracles.SUBSTRINGS,
+    "op3_mixing": oracles.MIXING,
+    "op6_quality": oracles.QUALITY,
+}

@@ -14,6 +14,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
@@ -29,6 +30,7 @@ from hourmart.llm import (  # noqa: E402
     neardup,
     packing,
     quality,
+    queries,
     scoring,
     secretscan,
     spotsigs,
@@ -429,6 +431,19 @@ def test_toxicity_of_odd_rows(spark):
     assert {r["score"] for r in nothing} == {0.0}
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_oracle(spark, name):
+    connection = duckdb.connect()
+    for path in Path(SMALL).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    cursor = connection.execute(queries.ORACLES[name])
+    columns = [c[0] for c in cursor.description]
+    expected = Counter(cursor.fetchall())
+    found = queries.QUERIES[name](spark, SMALL)
+    assert sorted(found.columns) == sorted(columns)
+    assert Counter(map(tuple, found.select(*columns).collect())) == expected
+
+
 def test_empty_tables(spark):
     docs = h.frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
