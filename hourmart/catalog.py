@@ -16,8 +16,9 @@ from hourmart import fixtures, schemas
 from hourmart.operators.contracts import violations
 from hourmart.operators.merge import replace_range, upsert
 from hourmart.plans import core, marts, raw
+from hourmart.plans.backfill import computed
 from hourmart.plans.readiness import hours_ready
-from hourmart.sources.landing import parse_feed, route_members, unzip_lines
+from hourmart.sources.landing import parse_feed, route_members, unzip_lines, with_load_hour
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,8 +98,18 @@ def _dist_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed(feed: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        objects = fixtures.zipped_objects(fixtures.staging_frames(spark, sf_dir)[feed], feed)
-        lines = route_members(unzip_lines(objects))
+        packed = fixtures.zipped_objects(fixtures.staging_frames(spark, sf_dir)[feed], feed)
+        hour = F.col(schemas.LOAD_HOUR)
+        objects = packed.select(
+            F.year(hour).alias("year"),
+            F.month(hour).alias("month"),
+            F.day(hour).alias("day"),
+            F.hour(hour).alias("hour"),
+            "path",
+            F.length("content").cast("long").alias("length"),
+            "content",
+        )
+        lines = route_members(unzip_lines(with_load_hour(objects)))
         return parse_feed(lines.filter(F.col("table") == feed), feed)
 
     return query
@@ -136,6 +147,12 @@ def _replace_hours_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_range(older, _bought(spark, sf_dir, **_REPLACED), "event_hour", **_REPLACED)
 
 
+def _backfill_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All steps of a backfill over part of the month, down to the last mart."""
+    staging = fixtures.staging_frames(spark, sf_dir)
+    return computed(spark, staging, **_REPLACED)[schemas.DM_DIST_EVENTS.name]
+
+
 def _contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _raw(fixtures.staging_frames(spark, sf_dir))
     bought = _bought(spark, sf_dir)
@@ -180,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "dm_hourly_events": _hourly_events,
     "dm_dist_events": _dist_events,
     "replace_hours_result": _replace_hours_result,
+    "backfill_dist_events": _backfill_dist,
     "upsert_mart": _upsert_mart,
     "upsert_top10": _upsert_top10,
     "contract_violations": _contract_violations,
@@ -384,6 +402,17 @@ FROM stg_browser GROUP BY 1"""
 SELECT c.event_timestamp, c.count_buy_product AS count_cart, p.count_payment,
        p.count_confirmation
 FROM counted c LEFT JOIN paid p ON p.event_timestamp = c.event_timestamp""",
+    ),
+    "backfill_dist_events": _with(
+        _buy_sql("hour"),
+        _COUNTED_SQL,
+        _funnel_sql("hour"),
+        select=f"""
+SELECT c.event_timestamp, c.count_buy_product AS count_cart, p.count_payment,
+       p.count_confirmation
+FROM counted c LEFT JOIN paid p ON p.event_timestamp = c.event_timestamp
+WHERE c.event_timestamp >= TIMESTAMP '{_REPLACED["start"]}'
+  AND c.event_timestamp < TIMESTAMP '{_REPLACED["end"]}'""",
     ),
     "replace_hours_result": _with(
         _buy_sql("hour"),

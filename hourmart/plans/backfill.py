@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from hourmart import schemas
-from hourmart.functions.timebuckets import Moment, as_hour
+from hourmart.functions.timebuckets import Moment, as_hour, in_range
 from hourmart.operators.neighbours import SPLIT_ROWS
 from hourmart.plans import core, marts, raw
 from hourmart.schemas import STAGING, TableSpec
@@ -44,6 +44,19 @@ class Run:
         return browser, {"start": self.start, "end": self.end, "split_rows": self.split_rows}
 
 
+@dataclass(frozen=True)
+class FrameRun(Run):
+    """The same over frames by table name; what is computed joins them."""
+
+    frames: dict[str, DataFrame]
+
+    def all(self, spec: TableSpec) -> DataFrame:
+        return self.frames[spec.name]
+
+    def part(self, spec: TableSpec) -> DataFrame:
+        return in_range(self.frames[spec.name], spec.hour, self.start, self.end)
+
+
 def _raw_browser(run: Run) -> DataFrame:
     # By event time: the rows may be loaded in any hour, before or after.
     return raw.raw_browser_events(run.all(STAGING["browser_events"]), run.start, run.end)
@@ -85,6 +98,21 @@ STEPS: tuple[tuple[TableSpec, Callable[[Run], DataFrame]], ...] = (
 TABLES: tuple[str, ...] = tuple(spec.name for spec, _ in STEPS)
 
 
+def computed(
+    spark: SparkSession,
+    staging: dict[str, DataFrame],
+    start: Moment,
+    end: Moment,
+    split_rows: int = SPLIT_ROWS,
+) -> dict[str, DataFrame]:
+    """All tables of ``[start, end)`` from staging frames, without storing any."""
+    frames = {STAGING[feed].name: rows for feed, rows in staging.items()}
+    run = FrameRun(spark, as_hour(start), as_hour(end), "", split_rows, frames)
+    for spec, build in STEPS:
+        frames[spec.name] = build(run).select(*spec.names)
+    return frames
+
+
 def backfill(
     spark: SparkSession,
     start: Moment,

@@ -40,8 +40,8 @@ def feed_schema(feed: str) -> T.StructType:
 class TableSpec:
     """One stored table.
 
-    ``hour`` names the column whose hour places a row in a partition. Fact
-    tables are partitioned by day and hour, marts (a few rows an hour) by day.
+    ``hour`` names the column whose hour places a row in a partition by day and
+    hour, so that writers of different hours never share one.
     ``hidden`` columns are computed on write and are not part of the read view.
     """
 

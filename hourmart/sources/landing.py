@@ -8,7 +8,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
-from datetime import datetime, timedelta
+from datetime import timedelta
 from functools import partial, reduce
 
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.functions.timebuckets import Moment, as_hour, in_range
+from hourmart.functions.timebuckets import Moment, as_hour, in_range, moment_literal
 from hourmart.schemas import FEEDS, LOAD_HOUR, STAGING, feed_schema
 from hourmart.sources.tables import overwrite_partitions
 
@@ -24,10 +24,9 @@ OBJECT_SCHEMA = (
     "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, "
     "year INT, month INT, day INT, hour INT"
 )
-LINE_SCHEMA = f"{LOAD_HOUR} TIMESTAMP_NTZ, member STRING, line STRING"
+BLOCK_SCHEMA = f"{LOAD_HOUR} TIMESTAMP_NTZ, member STRING, block STRING"
 _SUFFIX = ".jsonl"
-_BATCH_LINES = 8192
-_BATCH_BYTES = 8 << 20
+_BLOCK_BYTES = 4 << 20
 _CORRUPT = "_corrupt_line"
 # Compressed size from which an object's lines are handed on to other tasks.
 LARGE_OBJECT = 128 << 20
@@ -99,20 +98,18 @@ def with_load_hour(
 
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = pa.schema(
-        [(LOAD_HOUR, pa.timestamp("us")), ("member", pa.string()), ("line", pa.string())]
-    )
-
-    def packed(hour: datetime, member: str, lines: list[str]) -> pa.RecordBatch:
-        size = len(lines)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([hour] * size, pa.timestamp("us")),
-                pa.array([member] * size, pa.string()),
-                pa.array(lines, pa.string()),
-            ],
-            schema=kinds,
-        )
+    """Blocks of whole lines of every member; lines are cut apart by Spark."""
+
+    def blocks(archive: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[bytes]:
+        rest: list[bytes] = []
+        with archive.open(entry) as text:
+            while chunk := text.read(_BLOCK_BYTES):
+                head, newline, tail = chunk.rpartition(b"\n")
+                if newline:
+                    yield b"".join([*rest, head])
+                    rest = []
+                rest.append(tail)
+        yield b"".join(rest)
 
     for batch in batches:
         for hour, content in zip(batch.column(LOAD_HOUR), batch.column("content")):
@@ -120,28 +117,30 @@ def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for entry in archive.infolist():
                     if entry.is_dir():
                         continue
-                    lines, size = [], 0
-                    with archive.open(entry) as text:
-                        for raw in text:
-                            line = raw.decode("utf-8").strip()
-                            if not line:
-                                continue
-                            lines.append(line)
-                            size += len(raw)
-                            if len(lines) >= _BATCH_LINES or size >= _BATCH_BYTES:
-                                yield packed(hour.as_py(), entry.filename, lines)
-                                lines, size = [], 0
-                    if lines:
-                        yield packed(hour.as_py(), entry.filename, lines)
+                    for block in blocks(archive, entry):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([hour.as_py()], pa.timestamp("us")),
+                                pa.array([entry.filename], pa.string()),
+                                pa.array([block.decode("utf-8")], pa.string()),
+                            ],
+                            names=[LOAD_HOUR, "member", "block"],
+                        )
 
 
 def unzip_lines(objects: DataFrame) -> DataFrame:
     """One row per non-blank line of every member, unzipped on the executors.
 
-    A member is read as a stream and sent on in small batches, so a task holds
-    the compressed object and one batch, not the text.
+    A member is read as a stream and sent on in blocks of whole lines, so a task
+    holds the compressed object and one block (or line, if that is longer).
     """
-    return objects.select(LOAD_HOUR, "content").mapInArrow(_unzip, LINE_SCHEMA)
+    blocks = objects.select(LOAD_HOUR, "content").mapInArrow(_unzip, BLOCK_SCHEMA)
+    line = F.btrim(F.col("line"), F.lit(" \t\r\x0b\f"))
+    return (
+        blocks.select(LOAD_HOUR, "member", F.explode(F.split("block", "\n")).alias("line"))
+        .select(LOAD_HOUR, "member", line.alias("line"))
+        .filter("line != ''")
+    )
 
 
 def route_members(lines: DataFrame) -> DataFrame:
@@ -184,10 +183,10 @@ def store_objects(
     Usually each task unzips, parses and writes its own objects and nothing is
     shuffled. If some object is large (the listing tells, no content is read),
     its one task only unzips and the lines are spread over all tasks.
-    The feed's own rows are written in one pass, which also notes what other
-    tables the members name. Normally there are none. If there are, each such
-    table's hours are rewritten from the objects of all feeds, as its own object
-    may hold rows of the same hour.
+    The feed's own rows are written in one pass, which also notes the hours whose
+    members name other tables. Normally there are none. If there are, just these
+    hours of such a table are rewritten from the objects of all feeds, as its own
+    object may hold rows of the same hour.
     """
     lines = route_members(unzip_lines(objects))
     uneven = (objects.agg(F.max("length")).first()[0] or 0) >= LARGE_OBJECT
@@ -197,18 +196,20 @@ def store_objects(
     unknown = F.raise_error(F.concat(F.lit("no feed for member "), "member"))
     checked = lines.withColumn("table", F.when(known, F.col("table")).otherwise(unknown))
     seen = Observation()
-    noted = checked.observe(
-        seen,
-        F.collect_set("table").alias("tables"),
-        F.min(LOAD_HOUR).alias("first"),
-        F.max(LOAD_HOUR).alias("last"),
-    )
+    stray = F.when(F.col("table") != feed, F.struct("table", LOAD_HOUR))
+    noted = checked.observe(seen, F.collect_set(stray).alias("strays"))
     own = parse_feed(noted.filter(F.col("table") == feed), feed)
     overwrite_partitions(spark, own, STAGING[feed], database, spread=uneven)
-    found = seen.get
-    for other in sorted(set(found["tables"]) - {feed}):
-        end = found["last"] + timedelta(hours=1)
-        everywhere = [read_lines(spark, root, source, found["first"], end) for source in FEEDS]
+    hours: dict[str, list] = {}
+    for other, hour in seen.get["strays"]:
+        hours.setdefault(other, []).append(hour)
+    for other, stray_hours in sorted(hours.items()):
+        wanted = F.col(LOAD_HOUR).isin([moment_literal(hour) for hour in stray_hours])
+        first, end = min(stray_hours), max(stray_hours) + timedelta(hours=1)
+        everywhere = [
+            route_members(unzip_lines(scan_objects(spark, root, source, first, end).filter(wanted)))
+            for source in FEEDS
+        ]
         routed = reduce(DataFrame.unionByName, everywhere).filter(F.col("table") == other)
         overwrite_partitions(spark, parse_feed(routed, other), STAGING[other], database)
 

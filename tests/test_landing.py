@@ -63,6 +63,26 @@ def test_two_hours_and_a_missing_one(spark, tmp_path, database):
     assert stored(spark, database).count() == 3
 
 
+def test_missing_root_fails(spark, tmp_path, database):
+    hour = ("2024-01-01 10:00:00", "2024-01-01 11:00:00")
+    for bounds in (hour, (None, None)):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            landing.scan_objects(spark, str(tmp_path / "nowhere"), "browser_events", *bounds).count()
+
+
+def test_stray_member_touches_its_own_hours(spark, tmp_path, database):
+    put(tmp_path, "device_events", 10, {"device_events.jsonl": [{"click_id": "ten"}]})
+    put(tmp_path, "device_events", 12, {"device_events.jsonl": [{"click_id": "twelve"}]})
+    landing.load_device(spark, str(tmp_path), database=database)
+    # Changed since, but no hour of a stray member: it stays as it was loaded.
+    put(tmp_path, "device_events", 12, {"device_events.jsonl": [{"click_id": "later"}]})
+    put(tmp_path, "browser_events", 10, {"device_events.jsonl": [{"click_id": "stray"}]})
+    put(tmp_path, "browser_events", 12, {"browser_events.jsonl": [event(3, 12)]})
+    landing.load_browser(spark, str(tmp_path), database=database)
+    clicks = {r.click_id for r in stored(spark, database, "device_events").collect()}
+    assert clicks == {"ten", "stray", "twelve"}
+
+
 def test_types_absent_and_extra_fields(spark, tmp_path, database):
     put(tmp_path, "device_events", 10, {"device_events.jsonl": [
         {"click_id": "c", "device_is_mobile": True, "surprise": 1}]})
