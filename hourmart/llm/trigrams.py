@@ -108,6 +108,12 @@ def _walk(tree) -> tuple[set[str] | None, Query]:
                 part = strings | {""}
             elif low == high == 1:
                 part, more = strings, inside
+            elif low and strings is not None and len(strings) * len(exact) <= MOST:
+                # Once before the rest, once after it.
+                exact = {a + b for a, b in product(exact, strings)}
+                flush()
+                broken, exact = True, set(strings)
+                continue
             elif low:
                 more = both(inside, of_strings(strings) if strings is not None else Any_())
         elif kind is op.AT:

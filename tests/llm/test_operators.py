@@ -305,8 +305,10 @@ def test_code_lengths_are_those_of_chances():
     sample = np.array([1, 2, 1, 2, 3, 1, 2, 0, 3, 3, 1])
     bits = language.code_lengths(sample, 4, order=2).reshape(-1, 4)
     assert np.exp2(-bits).sum(axis=1) == pytest.approx(1, abs=1e-5)
-    # After 1 comes 2 three times: 3 of 3 + 1 escape at the longest context that has it.
-    assert bits[2 * 4 + 1, 2] == pytest.approx(-np.log2(2 / 3), abs=1e-5)
+    # After 2 and 1 comes 2, once: 1 of 1 + 1 escape.
+    assert bits[2 * 4 + 1, 2] == pytest.approx(1, abs=1e-5)
+    # Nothing came after 0 and 2; after 2 alone came three different symbols, once each.
+    assert bits[0 * 4 + 2, 0] == pytest.approx(-np.log2(1 / 6), abs=1e-5)
 
 
 def test_fingerprints(docs):
