@@ -1,6 +1,6 @@
 """A bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word comes in twice: by an embedding of its own, and by the mean of the embeddings of its
+A word comes in twice: by an embedding of its own, and by the scaled sum of the embeddings of its
 character n-grams, so unknown forms of a known word are read by their parts. Windows of words
 pass through one recurrent layer in each direction; attention weighs the states of all words
 into one vector, which decides.
@@ -16,8 +16,8 @@ EMBED, HIDDEN, POOL = 8, 8, 8
 WINDOW, STRIDE = 32, 16
 BATCH = 1024
 # A word or n-gram needs so many documents of the sample to be known.
-LEAST = 4
-DECAY = 1.0
+LEAST = 8
+DECAY = 0.2
 
 
 def plain(word: bytes) -> str:
@@ -26,7 +26,7 @@ def plain(word: bytes) -> str:
 
 def grams(word: str) -> list[str]:
     edged = f"^{word}$"
-    return [edged[i : i + n] for n in (3, 4, 5) for i in range(len(edged) - n + 1)]
+    return [edged[i : i + n] for n in (3, 4, 5, 6) for i in range(len(edged) - n + 1)]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -93,7 +93,7 @@ class Network:
         total = np.zeros((len(own), EMBED), np.float32)
         for j in range(EMBED):
             total[:, j] = np.bincount(owner, w["part"][line, j], len(own))
-        total /= np.maximum(np.bincount(owner, minlength=len(own)), 1)[:, None]
+        total /= np.sqrt(np.maximum(np.bincount(owner, minlength=len(own)), 1))[:, None]
         return np.concatenate([w["word"][own], total], axis=1)
 
     def _run(self, way: str, x: np.ndarray, there: np.ndarray, trace: list | None) -> np.ndarray:
@@ -181,7 +181,7 @@ class Network:
             found.append((text, first, self.forward(vectors[words[at]], there)[-1]))
         return tuple(map(np.concatenate, zip(*found)))
 
-    def train(self, texts: list[list[str]], labels: np.ndarray, epochs: int = 8, rate: float = 0.02) -> None:
+    def train(self, texts: list[list[str]], labels: np.ndarray, epochs: int = 10, rate: float = 0.01) -> None:
         """Each text is learned by the window that now looks most like label 1, and a random one if 0."""
         rng = np.random.default_rng(1)
         vocabulary = sorted({w for t in texts for w in t})
@@ -190,7 +190,7 @@ class Network:
         sizes = np.array([len(t) for t in texts])
         begin = np.cumsum(sizes) - sizes
         own, line, owner = self.lookup.rows(vocabulary)
-        many = np.maximum(np.bincount(owner, minlength=len(vocabulary)), 1)
+        many = np.sqrt(np.maximum(np.bincount(owner, minlength=len(vocabulary)), 1))
         line_at = np.searchsorted(owner, np.arange(len(vocabulary) + 1))
         moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.weights.items()}
         step = 0
