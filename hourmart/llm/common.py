@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # Text of one step in a Python worker, so that its memory does not follow the batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +79,7 @@ def slices(
 class Interner:
     """Numbers for words, forgotten as soon as more than ``most`` are known."""
 
-    def __init__(self, number: Callable[[bytes], int], most: int = 400_000) -> None:
+    def __init__(self, number: Callable[[bytes], int], most: int = 300_000) -> None:
         self.number, self.most, self.known = number, most, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:

@@ -57,7 +57,7 @@ class Subwords:
     Words seen before are looked up; at most about ``most`` are remembered.
     """
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -78,11 +78,18 @@ class Subwords:
             found = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(written)]
         return found
 
-    def word(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8", "replace")
-        if plain := PLAIN.fullmatch(text):
-            return self.part(plain[1].lower()) + self.part(plain[2])
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def new(self, words: list[bytes]) -> list[list[int]]:
+        found, parts, plain, part = [], self.parts, PLAIN.fullmatch, self.part
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if match := plain(text):
+                letters, marks = match.groups()
+                letters = letters.lower()
+                ids = parts.get(letters) or part(letters)
+                found.append(ids + (parts.get(marks) or part(marks)) if marks else ids)
+            else:
+                found.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return found
 
     def learn(self, words: Iterable[bytes]) -> None:
         if len(self.known) > self.most:
@@ -90,7 +97,7 @@ class Subwords:
         new = list(set(words).difference(self.known))
         if not new:
             return
-        found = list(map(self.word, new))
+        found = self.new(new)
         size = len(self.known)
         self.known.update(zip(new, range(size, size + len(new))))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
