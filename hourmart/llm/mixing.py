@@ -152,18 +152,18 @@ def mix(
         F.col("target") > 0,
         (F.col("turn") * F.col("source_size") + F.col("upto")) / F.col("target"),
     ).otherwise(0.0)
-    # Beyond time one lies nothing but what may round off the cut.
     turns = turns.withColumn("finish", finish)
-    budget = of_source.agg(F.sum("target").alias("budget")).withColumn("all", F.lit(0))
+    budget = F.lit(of_source.agg(F.sum("target")).first()[0]).cast("double")
+    # Slices of time up to one, and as many of all time after it.
+    slice_ = F.when(F.col("finish") <= 1, F.col("finish")).otherwise(2 - 1 / F.col("finish"))
     by_time = running(
         turns.withColumn("all", F.lit(0)),
         ["all"],
-        F.least(F.floor(F.col("finish") * buckets), F.lit(repeats * buckets)),
+        F.floor(slice_ * buckets),
         [F.col("finish"), F.col("source").asc_nulls_last(), *order, F.col("turn")],
     )
-    # The budget is one row, so the join copies it to the tasks.
-    taken = by_time.join(F.broadcast(budget), "all").withColumn(
-        "taken", F.when(F.col("upto") <= F.col("budget"), F.col("size")).otherwise(F.lit(0))
+    taken = by_time.withColumn(
+        "taken", F.when(F.col("upto") <= budget, F.col("size")).otherwise(F.lit(0))
     )
     return taken.groupBy("doc_id", "source", "size", "digest", "copy").agg(
         F.first("source_size").alias("source_size"),
