@@ -387,6 +387,33 @@ def test_attention_learns_more_than_frequencies(spark):
     assert model.log_chances(held, held_starts).mean() > alone + 0.7
 
 
+def test_attention_chances_within_classes_follow_context():
+    rng = np.random.default_rng(0)
+    # Pairs of two rare tokens each, of one class: only what stands before tells them apart.
+    counts = np.zeros(4000)
+    counts[:200] = 1000
+    pairs = rng.integers(0, 40, 3000)
+    tokens = np.stack([pairs, 1000 + 50 * pairs], axis=1).ravel()
+    np.add.at(counts, tokens, 1)
+    starts = np.arange(0, len(tokens) + 1, 30)
+    vocabulary = attention.Vocabulary.of(counts)
+    model = attention.Attention(vocabulary)
+    everything = np.arange(len(counts))
+    state = rng.standard_normal((1, attention.WIDTH)).astype(np.float32)
+    model.tree += rng.standard_normal(model.tree.shape).astype(np.float32)
+    within = np.exp(model._within(np.repeat(state, len(counts), axis=0), everything))
+    of_class = np.bincount(vocabulary.class_of, within)
+    assert of_class[np.unique(vocabulary.class_of)] == pytest.approx(1, abs=1e-4)
+    model = attention.Attention(vocabulary)
+    model.train(tokens, starts, epochs=30)
+    second = np.arange(1, len(tokens), 2)
+    shares = np.bincount(tokens[second], minlength=len(counts))[tokens[second]] / len(second)
+    assert model.log_chances(tokens, starts)[second].mean() > np.log(shares).mean() + 2
+    # Reading fewer classes or less before a token is no way to save time.
+    assert attention.CLASSES >= 128 and attention.ALONE >= 96 and attention.WIDTH >= 24
+    assert attention.WINDOW - attention.STRIDE >= 8
+
+
 def test_attention_gradient_and_windows():
     vocabulary = attention.Vocabulary.of(np.arange(300.0))
     model = attention.Attention(vocabulary)
