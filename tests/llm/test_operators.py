@@ -387,6 +387,42 @@ def test_attention_learns_more_than_frequencies(spark):
     assert model.log_chances(held, held_starts).mean() > alone + 0.7
 
 
+def patterned(seed: int, n: int) -> str:
+    """Words of which each comes after one other."""
+    names = h.sentence(1, 12).split()
+    return " ".join(names[(seed + i) % len(names)] for i in range(n))
+
+
+def shuffled(text: str) -> str:
+    return " ".join(np.random.default_rng(0).permutation(text.split()))
+
+
+def test_attention_learns_whole_distinct_texts(spark):
+    # What follows a word is learned from what stands after 4000 characters of odd texts, and
+    # though another text is there very often.
+    rows = [(i, h.sentence(9, 40)) for i in range(0, 2000)]
+    rows += [(i, h.sentence(i, 700) + " " + patterned(i, 900)) for i in range(2000, 2040)]
+    rows += [(-1, patterned(5, 300)), (-2, shuffled(patterned(5, 300)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = scoring.F.col("doc_id") >= 0
+    found = {r["doc_id"]: r["score"] for r in scoring.score(docs, train, h.TOKENIZER).collect()}
+    assert found[-1] - found[-2] > 0.1 * 300
+
+
+def test_attention_averages_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "ALONE_CHARS", 0)
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    split = [r["text"].encode().lower().split() for r in docs.filter("doc_id % 5 = 0").collect()]
+    learned = docs.filter("doc_id % 5 > 0")
+    tokens = packing.subwords(h.TOKENIZER)
+    held, starts, _, _ = scoring._sequence(tokens, split)
+    own = [r["text"].encode().lower().split() for r in learned.collect()]
+    counts = np.bincount(scoring._sequence(tokens, own)[0], minlength=scoring.IDS)
+    alone = np.log((counts + 0.5) / (counts + 0.5).sum())[held].mean()
+    model = scoring.fit(learned.repartition(3), counts, h.TOKENIZER)
+    assert model.log_chances(held, starts).mean() > alone + 1
+
+
 def test_attention_chances_within_classes_follow_context():
     rng = np.random.default_rng(0)
     # Pairs of two rare tokens each, of one class: only what stands before tells them apart.
