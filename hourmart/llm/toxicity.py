@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional recurrent network over all overlapping windows of a text.
 
-The network is fitted on the driver on a bounded sample of labelled documents, chosen by digest;
-every text is scored whole, by its most toxic window. Null and empty texts get the score of an
+The network is fitted on the driver on a bounded sample of labelled documents, chosen by digest
+and read whole; every text is scored whole, by its most toxic window. Null and empty texts get the score of an
 empty window. Without labelled rows of both kinds every score is 0. Repeated rows are scored each.
 """
 
@@ -11,14 +11,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourmart.llm import gru
 from hourmart.llm.common import slices, texts
 
-# Labelled documents of label 1 and of label 0 in the sample, and characters of each.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 400, 800, 12_000
+# Labelled documents of label 1 and of label 0 in the sample.
+FIT_TOXIC, FIT_CLEAN = 400, 800
+# Characters of either label after which no further document is taken; the last one is whole, too.
+FIT_TOTAL = 16 << 20
 
 
 def fit(
@@ -27,7 +29,7 @@ def fit(
     learn: Column,
     toxic: int = FIT_TOXIC,
     clean: int = FIT_CLEAN,
-    size: int = FIT_CHARS,
+    total: int = FIT_TOTAL,
 ) -> gru.Network | None:
     """A network from the labelled rows where ``learn`` holds."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
@@ -37,10 +39,15 @@ def fit(
     chosen = [known.filter(F.col("toxic") == k).orderBy(spread).limit(n) for k, n in ((1, toxic), (0, clean))]
     # Broadcast: at most as many rows as the sample has.
     sample = F.broadcast(chosen[0].union(chosen[1]))
-    texts_ = docs.select(
-        F.col("doc_id").cast("long"), F.substring(F.col("text"), 1, size).alias("text")
-    ).filter("text IS NOT NULL")
-    rows = texts_.join(sample, "doc_id").orderBy(spread, "text").limit(toxic + clean).collect()
+    texts_ = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(
+        "text IS NOT NULL"
+    )
+    rows = texts_.join(sample, "doc_id").orderBy(spread, "text").limit(toxic + clean)
+    before = F.sum(F.length("text").cast("long")).over(
+        Window.partitionBy("toxic").orderBy(spread, "text").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < total)
+    rows = rows.orderBy(spread, "text").collect()
     marks = np.array([r["toxic"] for r in rows])
     if len(np.unique(marks)) < 2:
         return None

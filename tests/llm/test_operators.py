@@ -489,6 +489,30 @@ def test_toxicity_held_out(spark):
     assert np.mean(right) > 0.97 and np.mean(caught) > 0.85
 
 
+def test_toxicity_learns_what_stands_late(spark):
+    clean = [h.sentence(i % 7, 2400) for i in range(160)]
+    late = h.sentence(1000, 300)
+    docs = [(i, t + (f" {late}" * 8 if i % 2 else "")) for i, t in enumerate(clean)]
+    docs += [(1000, h.sentence(3, 100)), (1001, late)]
+    assert all(len(t) > 12_000 and late not in t[:12_000] for _, t in docs[:160])
+    labels = [(i, 0, i % 2) for i in range(160)]
+    found = toxicity.score(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        toxicity.F.col("doc_id") < 160,
+    )
+    assert {r["doc_id"]: r["predicted"] for r in found.filter("held_out").collect()} == {1000: 0, 1001: 1}
+
+
+def test_toxicity_takes_fewer_rows_not_parts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity.gru.Network, "train", lambda self, texts, labels: seen.append(texts))
+    docs = spark.createDataFrame([(i, "word " * 4000) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    toxicity.fit(docs, labels, toxicity.F.lit(True), total=45_000)
+    assert [len(t) for t in seen[0]] == [4000] * 6
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame(
         [(i, 0, i % 2) for i in range(1, 13)] + [(None, 0, 1), (7, None, None)],
