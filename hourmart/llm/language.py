@@ -4,11 +4,11 @@ Each language has a tree of byte contexts of up to ``ORDER`` bytes with the coun
 follows. A byte is coded in the longest known context; if it is new there, an escape is coded
 (method C: as likely as the number of different bytes seen) and the next shorter context is
 asked, without the bytes that the longer ones would have coded. The counts are frozen after
-training, so the code length of a byte depends on the bytes before it alone, and all of
-them are worked out once. The language with the shortest code for the whole text wins.
+training, so the code length of a byte depends on the bytes before it alone. Only contexts
+that were seen are held. The language with the shortest code for the whole text wins.
 
-ASCII letters are folded to lower case, digits to one symbol, white space to one; bytes that
-the training texts hardly use share a symbol. Null texts and texts without a letter are ``und``
+ASCII letters are folded to lower case, digits to one symbol, white space to one; every other byte
+of the training texts is a symbol of its own, and those they never have share one. Null texts and texts without a letter are ``und``
 with score 0. The score is the share of the best language if code lengths per byte are read as odds.
 Without training rows every text is ``und``.
 """
@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from hourmart.llm.common import slices, texts
 
 ORDER = 3
-SYMBOLS = 48
-# The model is fitted on so many documents of each language, and so many bytes of each.
+# The model is fitted on so many different documents of each language, read whole.
 FIT_DOCUMENTS = 96
-FIT_BYTES = 4000
+# Characters of a language after which no further document is taken; the last one is whole, too.
+FIT_TOTAL = 4 << 20
 # Bytes from which the odds of a text do not get steeper.
 SURE_BYTES = 24.0
 
@@ -43,14 +43,15 @@ def folded() -> np.ndarray:
     return table
 
 
-def alphabet(samples: list[bytes], symbols: int = SYMBOLS) -> np.ndarray:
-    """The symbol of each byte: the most used ones have their own, 0 is all the rest."""
+def alphabet(samples: list[bytes]) -> np.ndarray:
+    """The symbol of each byte: those of the samples have their own, from 1 on; 0 is all the rest."""
     table = folded()
     counts = np.zeros(256, np.int64)
     for sample in samples:
         counts += np.bincount(table[np.frombuffer(sample, np.uint8)], minlength=256)
-    used = [b for b in np.argsort(-counts, kind="stable").tolist() if counts[b]][: symbols - 1]
+    used = np.flatnonzero(counts)
     own = np.zeros(256, np.int64)
+    # At most 216: folding leaves so many.
     own[used] = np.arange(1, len(used) + 1)
     return own[table]
 
@@ -82,19 +83,71 @@ def code_lengths(sample: np.ndarray, symbols: int, order: int = ORDER) -> np.nda
     return (-np.log2(np.maximum(chance, 1e-12))).astype(np.float32).ravel()
 
 
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted ones among sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Contexts:
+    """The chances of ``code_lengths``, held for the contexts that were seen alone.
+
+    A gram is a context and the symbol after it, a byte each, the last one lowest.
+    """
+
+    def __init__(self, sample: np.ndarray, symbols: int, order: int = ORDER) -> None:
+        self.symbols, self.order = symbols, order
+        # By length of context: grams and their chances; contexts and the weight of shorter ones.
+        self.grams, self.known, self.contexts, self.weight = [], [], [], []
+        for k in range(order + 1):
+            n = max(len(sample) - k, 0)
+            place = np.zeros(n, np.int64)
+            for j in range(k + 1):
+                place = place << 8 | sample[j : j + n]
+            grams, counts = np.unique(place, return_counts=True)
+            shorter = self.chance(grams, k - 1)
+            contexts, at = np.unique(grams >> 8, return_inverse=True)
+            kinds, total = np.bincount(at, minlength=len(contexts)), np.bincount(at, counts)
+            new = np.where(kinds == symbols, 0, kinds)
+            rest = 1.0 - np.bincount(at, shorter, len(contexts))
+            self.grams.append(grams)
+            self.known.append(counts / (total + new)[at])
+            self.contexts.append(contexts)
+            self.weight.append(new / (total + new) / np.maximum(rest, 1e-12))
+
+    def chance(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """Chances of grams by contexts of up to ``order`` symbols."""
+        found = np.ones(len(grams))
+        open_ = np.arange(len(grams))
+        for k in range(order, -1, -1):
+            own = grams[open_] & ((1 << 8 * (k + 1)) - 1)
+            at, there = _find(self.grams[k], own)
+            found[open_[there]] *= self.known[k][at[there]]
+            open_, own = open_[~there], own[~there]
+            at, there = _find(self.contexts[k], own >> 8)
+            found[open_[there]] *= self.weight[k][at[there]]
+        found[open_] /= self.symbols
+        return found
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        return -np.log2(np.maximum(self.chance(grams, self.order), 1e-12))
+
+
 class Model:
-    """Languages, their samples as symbols, and the tables made from them."""
+    """Languages, their samples as symbols, and the contexts in them."""
 
-    def __init__(self, fitted: str, symbols: int = SYMBOLS) -> None:
+    def __init__(self, fitted: str) -> None:
         samples = {}
         for item in fitted.split("\n") if fitted else []:
             name, sample = item.split("\t")
             samples[base64.b64decode(name).decode()] = base64.b64decode(sample)
         self.languages = sorted(samples)
-        self.alphabet = alphabet(list(samples.values()), symbols).astype(np.int32)
+        self.alphabet = alphabet(list(samples.values())).astype(np.uint32)
         self.symbols = int(self.alphabet.max()) + 1 if samples else 1
-        self.tables = [
-            code_lengths(self.alphabet[np.frombuffer(samples[name], np.uint8)], self.symbols)
+        self.contexts = [
+            Contexts(self.alphabet[np.frombuffer(samples[name], np.uint8)].astype(np.int64), self.symbols)
             for name in self.languages
         ]
 
@@ -103,14 +156,17 @@ class Model:
         blank = b" " * ORDER
         coded = self.alphabet[np.frombuffer(b"".join([blank + t for t in shard]), np.uint8)]
         sizes = np.array([len(t) + ORDER for t in shard])
-        place = coded[:-ORDER].astype(np.int32)
+        place = coded[:-ORDER]
         for j in range(1, ORDER + 1):
-            place = place * self.symbols + coded[j : len(coded) - ORDER + j]
+            place = place << np.uint32(8) | coded[j : len(coded) - ORDER + j]
+        # Each different gram is looked up once.
+        met = pa.array(place).dictionary_encode()
+        grams, place = met.dictionary.to_numpy().astype(np.int64), met.indices.to_numpy()
         begin = np.cumsum(sizes) - sizes
         found = np.zeros((len(shard), len(self.languages)))
-        for language, table in enumerate(self.tables):
+        for language, contexts in enumerate(self.contexts):
             cost = np.zeros(len(place) + 1)
-            np.cumsum(table[place], dtype=np.float64, out=cost[1:])
+            np.cumsum(contexts.bits(grams)[place], out=cost[1:])
             found[:, language] = cost[begin + sizes - ORDER] - cost[begin]
         return found
 
@@ -124,17 +180,22 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS, size: int = FIT_BYTES) -> str:
+def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS, total: int = FIT_TOTAL) -> str:
     """A bounded sample of every language in ``labelled`` (text, lang), as text.
 
-    It takes the documents of least digest, so reruns agree. Only their first bytes are read;
-    texts to be judged are always read whole.
+    It takes the different documents of least digest, so reruns agree, and reads them whole.
     """
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(
-        "lang", F.substring(F.col("text"), 1, size).alias("text"), F.md5("text").alias("digest")
+        "lang", "text", F.md5("text").alias("digest")
     )
-    by_digest = Window.partitionBy("lang").orderBy("digest", "text")
-    some = rows.withColumn("nth", F.row_number().over(by_digest)).filter(F.col("nth") <= documents)
+    kinds = rows.groupBy("lang", "digest").agg(F.max(F.length("text").cast("long")).alias("size"))
+    by_digest = Window.partitionBy("lang").orderBy("digest")
+    some = kinds.withColumn("nth", F.row_number().over(by_digest)).filter(F.col("nth") <= documents)
+    before = F.sum("size").over(by_digest.rowsBetween(Window.unboundedPreceding, -1))
+    some = some.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < total)
+    # Broadcast: at most so many short rows of each language.
+    some = rows.join(F.broadcast(some.drop("size", "before")), ["lang", "digest"])
+    some = some.dropDuplicates(["lang", "digest"])
     held: dict[str, list[bytes]] = {}
     for row in some.orderBy("lang", "nth").collect():
         held.setdefault(row["lang"], []).append(row["text"].encode())

@@ -305,6 +305,44 @@ def test_language_of_odd_rows(spark):
     assert {r["lang_pred"] for r in nothing} == {"und"}
 
 
+def test_language_learns_whole_distinct_texts(spark):
+    filler = "0123 " * 900
+    rows = [(i, f"{filler} {h.sentence(i, 60)}", "x") for i in range(20)]
+    rows += [(i, f"{filler} {h.sentence(i, 60).translate(str.maketrans('aeiou', 'bcdfg'))}", "y") for i in range(20)]
+    # Many copies of one text in each language.
+    rows += [(100 + i, "9", lang) for i in range(300) for lang in "xy"]
+    rows += [(1000, h.sentence(500, 30), "x"), (1001, h.sentence(501, 30).translate(str.maketrans("aeiou", "bcdfg")), "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learn = scoring.F.col("doc_id") < 1000
+    found = language.identify(docs, learn, documents=15).filter("held_out").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1000: "x", 1001: "y"}
+    sample = language.base64.b64decode(language.fit(docs.filter(learn)).split("\n")[0].split("\t")[1])
+    assert sample.count(b"9 ") + sample.endswith(b" 9") <= 2
+    assert all(h.sentence(i, 60).encode() in sample for i in range(20))
+
+
+def test_language_tells_bytes_of_other_scripts_apart():
+    # Two languages of letters from disjoint, large sets, beside many common ones.
+    common = "".join(chr(c) for c in [*range(97, 123), *range(0x3B1, 0x3C9), *range(0x430, 0x450)]) * 40
+    one = common + "".join(chr(0x10A0 + 7 * i % 20) for i in range(60))
+    other = common + "".join(chr(0x10B4 + 7 * i % 12) for i in range(60))
+    encode = lambda t: language.base64.b64encode(t.encode()).decode()
+    found = language.Model(f"{encode('a')}\t{encode(one)}\n{encode('b')}\t{encode(other)}")
+    used = {*one.encode(), *other.encode()}
+    assert len(used) > 48 and len({int(found.alphabet[b]) for b in used} - {0}) == len(used)
+    bits = found.bits([one[-60:].encode(), other[-60:].encode()])
+    assert bits.argmin(axis=1).tolist() == [0, 1]
+
+
+def test_sparse_contexts_are_those_of_code_lengths():
+    sample = np.random.default_rng(0).integers(0, 5, 60)
+    symbols, order = 6, 3
+    bits = language.code_lengths(sample, symbols, order)
+    digits = np.indices([symbols] * (order + 1)).reshape(order + 1, -1)
+    grams = sum(d.astype(np.int64) << 8 * (order - k) for k, d in enumerate(digits))
+    assert language.Contexts(sample, symbols, order).bits(grams) == pytest.approx(bits, abs=1e-4)
+
+
 def test_code_lengths_are_those_of_chances():
     sample = np.array([1, 2, 1, 2, 3, 1, 2, 0, 3, 3, 1])
     bits = language.code_lengths(sample, 4, order=2).reshape(-1, 4)
