@@ -6,7 +6,10 @@ the running text has few anchors and leaves few spots. Sets are compared by Jacc
 only sets of near lengths can be alike, so lengths are cut into parts such that a set meets
 its own part and the two next to it, and spots are looked up in the shortest lists first.
 
-A text without a spot has one made of all its words; one without words (null included) has the
+A stretch of ``STRETCH`` or more content words without an anchor, such as a list or a text in
+another language, has as spots a share of its chains of ``CHAIN`` + 1 words, chosen by their hash,
+so that near copies of it are alike, too. A text that has no spot so far has those of all its words,
+or the one of least hash; if it is shorter than a chain, one made of all its words. One without words (null included) has the
 empty fingerprint, which is like itself alone. Rows with one id follow each other by their text;
 null ids come last. The next document of the last one is the first, of a single one itself.
 """
@@ -34,6 +37,8 @@ ANCHORS = frozenset(
     """.split()
 )
 CHAIN = 2
+# Content words without an anchor from which on chains are spots, and one of how many chains.
+STRETCH, SHARE = 12, 4
 LIKENESS = 0.8
 MARKS = ".,;:!?()[]{}\"'`|*#$%&<>-_/\\"
 # Words without letters or digits take no part; anchors have small numbers.
@@ -79,19 +84,47 @@ class Fingerprints:
         for j in range(self.chain):
             spot = mix(spot * np.uint64(0x9E3779B97F4A7C15) + content[first + j])
         spot = (spot >> np.uint64(32)).astype(np.uint32)
-        ends = np.searchsorted(owner[at], np.arange(len(split) + 1))
+        more, more_owner = self._stretches(content, content_owner, np.cumsum(anchor)[~anchor])
+        spot, of_spot = np.concatenate([spot, more]), np.concatenate([owner[at], more_owner])
+        order = np.argsort(of_spot, kind="stable")
+        spot = spot[order]
+        ends = np.searchsorted(of_spot[order], np.arange(len(split) + 1))
         borders = np.searchsorted(owner, np.arange(len(split) + 1))
         found = []
         for i in range(len(split)):
             own = np.unique(spot[ends[i] : ends[i + 1]])
             low, high = borders[i], borders[i + 1]
             if not len(own) and high > low:
-                own = kgram_hashes(words[low:high], high - low)[:1] >> np.uint64(32)
-                own = own.astype(np.uint32)
+                chains = kgram_hashes(words[low:high], min(self.chain + 1, high - low))
+                some = chains[chains % np.uint64(SHARE) == 0]
+                own = np.unique(some if len(some) else chains.min(keepdims=True))
+                own = np.unique((own >> np.uint64(32)).astype(np.uint32))
             found.append(own)
         return found
 
 
+    def _stretches(
+        self, content: np.ndarray, owner: np.ndarray, anchors: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Chosen chains in long stretches without an anchor, and whose they are.
+
+        ``anchors`` is how many of them stand before each content word.
+        """
+        size = self.chain + 1
+        if len(content) < max(size, STRETCH):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        new = np.append(True, (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1]))
+        begin = np.flatnonzero(new)
+        length = np.diff(np.append(begin, len(content)))
+        stretch = np.cumsum(new) - 1
+        chains = kgram_hashes(content, size)
+        there = np.arange(len(chains))
+        inside = there + size <= (begin + length)[stretch[: len(chains)]]
+        long = length[stretch[: len(chains)]] >= STRETCH
+        at = np.flatnonzero(inside & long & (chains % np.uint64(SHARE) == 0))
+        return (chains[at] >> np.uint64(32)).astype(np.uint32), owner[at]
+
+
 def written(spots: np.ndarray) -> str:
     """The set as text, eight hexadecimal digits for each spot."""
     return spots.astype(">u4").tobytes().hex()

@@ -378,6 +378,21 @@ def test_fingerprints(docs):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
 
 
+def test_fingerprints_without_anchors_stay_alike(spark):
+    plain = [h.sentence(i, 60 + i) for i in range(20)]
+    running = " ".join(f"the {w} {w}x" for w in h.sentence(99, 80).split())
+    assert not any(spotsigs.ANCHORS & set(t.split()) for t in plain)
+    rows = [(2 * i + j, t) for i, t in enumerate(plain) for j, t in enumerate((t, running))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near = {r["doc_id"]: r["near_edited"] for r in spotsigs.compare(docs).collect()}
+    assert all(near[2 * i] > 0 for i in range(20))
+    prints = spotsigs.Fingerprints()
+    one, other, far = prints.of([t.encode() for t in (plain[0], plain[0] + " more words", plain[1])])
+    assert spotsigs.likeness(one, other) > 0.8 > 0.1 > spotsigs.likeness(one, far)
+    # Texts do not depend on those beside them.
+    assert all((a == prints.of([t.encode()])[0]).all() for a, t in zip(prints.of([t.encode() for t in plain]), plain))
+
+
 def test_fingerprint_search(spark):
     docs = table(spark, SMALL, "documents")
     sets = {r["doc_id"]: set(r["spots"]) for r in spotsigs.spots(docs).collect()}
