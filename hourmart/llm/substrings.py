@@ -100,7 +100,7 @@ def _minimizers(window: int):
                 [
                     pa.array(rid[text[first]]),
                     pa.array(value[first].view(np.int64)),
-                    pa.array(np.minimum(times, 2).astype(np.int8)),
+                    pa.array(times.astype(np.int32)),
                 ],
                 names=["rid", "value", "times"],
             )
@@ -287,7 +287,7 @@ def remove_repeats(
     )
     least = stored(
         rows.select("rid", "text").mapInArrow(
-            _minimizers(window), "rid long, value long, times tinyint"
+            _minimizers(window), "rid long, value long, times int"
         )
     )
     # Grouped by another form of the hash, the counts are dealt anew for the join, so that

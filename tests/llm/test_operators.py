@@ -175,6 +175,15 @@ def test_substrings(docs, options):
     assert Counter(map(tuple, substrings.remove_repeats(docs, **options).collect())) == expected
 
 
+def test_minimizers_count_all_their_places():
+    phrase = h.sentence(1, 34)
+    # What stands around the phrase differs, so its least hash is that of many places of one text.
+    text = " ".join(f"{h.sentence(i, 40)} {phrase}" for i in range(2, 302))
+    batch = substrings.pa.RecordBatch.from_pydict({"rid": [1], "text": [text]})
+    times = next(substrings._minimizers(substrings.WINDOW)([batch])).column("times").to_numpy()
+    assert times.max() == 300
+
+
 def test_index_counts_windows():
     rng = np.random.default_rng(3)
     for _ in range(20):
