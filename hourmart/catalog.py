@@ -153,6 +153,20 @@ def _backfill_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return computed(spark, staging, **_REPLACED)[schemas.DM_DIST_EVENTS.name]
 
 
+def _backfill_dist_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All steps of a backfill over every hour of the table, down to the last mart."""
+    staging = fixtures.staging_frames(spark, sf_dir)
+    at = F.expr("try_cast(event_timestamp AS TIMESTAMP_NTZ)")
+    hours = staging["browser_events"].agg(
+        F.date_trunc("hour", F.min(at)).cast("string"),
+        (F.date_trunc("hour", F.max(at)) + F.expr("INTERVAL 1 HOUR")).cast("string"),
+    )
+    start, end = hours.first()
+    # Without events any range gives the empty mart.
+    start, end = (start, end) if start else _REPLACED.values()
+    return computed(spark, staging, start, end)[schemas.DM_DIST_EVENTS.name]
+
+
 def _contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _raw(fixtures.staging_frames(spark, sf_dir))
     bought = _bought(spark, sf_dir)
@@ -198,6 +212,7 @@ QUERIES: dict[str, Query] = {
     "dm_dist_events": _dist_events,
     "replace_hours_result": _replace_hours_result,
     "backfill_dist_events": _backfill_dist,
+    "backfill_dist_events_whole": _backfill_dist_whole,
     "upsert_mart": _upsert_mart,
     "upsert_top10": _upsert_top10,
     "contract_violations": _contract_violations,
@@ -444,3 +459,5 @@ FROM day_top10 d FULL JOIN top10 h USING (event_timestamp, page_url_path)""",
     ),
     "contract_violations": _with(_buy_sql("hour"), _TOP10_SQL, select=_violations_sql()),
 }
+# A backfill over every hour gives the whole mart.
+ORACLES["backfill_dist_events_whole"] = ORACLES["dm_dist_events"]
