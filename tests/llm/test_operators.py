@@ -8,6 +8,7 @@ import os
 os.environ.setdefault("OMP_NUM_THREADS", "1")
 
 import hashlib
+import pickle
 import re
 import sys
 import zlib
@@ -449,6 +450,13 @@ def test_attention_learns_more_than_frequencies(spark):
     assert model.log_chances(held, held_starts).mean() > alone + 0.7
 
 
+def test_attention_is_sent_without_nodes_at_rest():
+    model = attention.Attention(attention.Vocabulary.of(np.arange(3000.0)))
+    model.tree[7] = 2
+    sent = pickle.dumps(model)
+    assert len(sent) < model.tree.nbytes and (pickle.loads(sent).tree == model.tree).all()
+
+
 def patterned(seed: int, n: int) -> str:
     """Words of which each comes after one other."""
     names = h.sentence(1, 12).split()
