@@ -100,3 +100,83 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0))::B
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept k USING (row_id)
 """
+
+NEAREST = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS vec, row_number() OVER () AS place FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+measured AS (
+  SELECT q.place, q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce([(q.vec[i] - c.vec[i]) * (q.vec[i] - c.vec[i])
+                           for i in range(1, len(q.vec) + 1)], lambda a, b: a + b)) AS score
+  FROM usable q JOIN usable c ON q.place <> c.place AND len(q.vec) = len(c.vec)
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score, vec_id) AS rank FROM measured)
+WHERE rank <= 10
+"""
+
+RANKED_SEARCH = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+totals AS (SELECT count(*)::BIGINT AS n, sum(len(terms))::BIGINT AS l FROM split WHERE len(terms) > 0),
+counted AS (
+  SELECT place, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf, any_value(size) AS size
+  FROM (SELECT place, doc_id, len(terms)::BIGINT AS size, unnest(terms) AS term FROM split)
+  GROUP BY place, term),
+wanted AS (
+  SELECT DISTINCT item, item_id, term FROM (
+    SELECT row_number() OVER () AS item, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM counted
+        WHERE term IN (SELECT term FROM wanted) GROUP BY term), totals),
+scored AS (
+  SELECT item, item_id, place, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * size * n) // l))))::BIGINT
+           AS score
+  FROM wanted JOIN counted USING (term) JOIN weighed USING (term), totals
+  GROUP BY item, item_id, place, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+HARD_NEGATIVES = """
+WITH usable AS (
+  SELECT row_number() OVER () AS place, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+measured AS (
+  SELECT a.place AS anchor, a.vec_id AS anchor_id, c.place, c.vec_id, a.label = c.label AS alike,
+         coalesce(list_sum([a.vec[i] * c.vec[i] for i in range(1, len(a.vec) + 1)]), 0)::BIGINT
+           AS score
+  FROM usable a JOIN usable c ON a.place <> c.place AND len(a.vec) = len(c.vec)
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor, place, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS rank
+        FROM measured WHERE alike)
+  WHERE rank <= 5)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+FROM (SELECT m.anchor_id, positive_id, m.vec_id AS negative_id, positive_score,
+             m.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor, p.place ORDER BY m.score DESC, m.vec_id) AS rank
+      FROM positives p JOIN measured m USING (anchor)
+      WHERE NOT m.alike AND 50 * positive_score <= 100 * m.score
+        AND 100 * m.score <= 95 * positive_score)
+WHERE rank <= 3
+"""

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from hourmart.llm import (
     language,
+    lexical,
     mixing,
+    nearest,
     neardup,
+    negatives,
     oracles,
     packing,
     quality,
@@ -77,6 +80,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, labels, id_hash(5) != 0)
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical.ranked_documents(docs, items)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    return negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), vec_id % 50 == 0, vec_id % 7 == 0
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
@@ -88,9 +107,15 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_nearest": op11_nearest,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op1_substrings": oracles.SUBSTRINGS,
     "op3_mixing": oracles.MIXING,
     "op6_quality": oracles.QUALITY,
+    "op11_nearest": oracles.NEAREST,
+    "op12_ranked_search": oracles.RANKED_SEARCH,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
