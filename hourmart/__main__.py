@@ -9,6 +9,7 @@ from datetime import timedelta
 from hourmart.functions.timebuckets import as_hour
 from hourmart.plans.backfill import REPLACE, TABLES, UPSERT, backfill
 from hourmart.plans.readiness import hours_ready
+from hourmart.plans.refresh import refresh
 from hourmart.schemas import FEEDS, STAGING
 from hourmart.session import build_session
 from hourmart.sources.landing import load_feed
@@ -38,6 +39,10 @@ def _arguments(given: Sequence[str] | None) -> argparse.Namespace:
     fill.add_argument("--tables", nargs="+", choices=TABLES, default=TABLES)
     fill.add_argument("--marts-mode", choices=(REPLACE, UPSERT), default=REPLACE)
 
+    again = jobs.add_parser("refresh", help="whatever landings have touched since the last one")
+    again.add_argument("--marts-mode", choices=(REPLACE, UPSERT), default=REPLACE)
+    again.add_argument("--reach", type=int, help="hours between an event and its page or device")
+
     ready = jobs.add_parser("ready", help="rows per hour and feed")
     ready.add_argument("start")
     ready.add_argument("end")
@@ -56,6 +61,9 @@ def main(given: Sequence[str] | None = None) -> None:
             land_incremental(spark, args.root, feed, place, args.database).awaitTermination()
     elif args.job == "backfill":
         backfill(spark, args.start, args.end, args.database, args.marts_mode, args.tables)
+    elif args.job == "refresh":
+        hours = refresh(spark, args.database, args.marts_mode, reach=args.reach)
+        print(f"{len(hours)} hours")
     else:
         staging = {
             f: read_table(spark, STAGING[f], args.database, args.start, args.end) for f in FEEDS

@@ -2,8 +2,8 @@
 
 A window sorts each group in one task. That is fine until one group (the events
 without a user, a crawler's click) holds a large share of the rows. Such hot
-groups are found by a count of the rows the window would see, taken out of the
-plain plan, and cut into slots: consecutive ranges of the group's own order, many
+groups are found by a count of the rows the window would see (of those groups only
+that could be that large), taken out of the plain plan, and cut into slots: consecutive ranges of the group's own order, many
 per group, each a separate window. A slot's edge then gets its neighbour from a
 summary with one row per slot. Both ways give the same rows, and nothing limits
 how many groups are hot or how many slots they need.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,17 +41,43 @@ class HotGroups:
 def find_hot_groups(
     counts: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS
 ) -> HotGroups:
-    """Hot groups from per-group counts (``keys`` plus ``n``), counted once.
+    """Hot groups from per-group counts (``keys`` plus ``n``).
 
-    The keys stay a distributed frame; only their number and the sum of their rows
-    come to the driver.
+    The keys stay a distributed frame, checkpointed if there are any; only their number
+    and the sum of their rows come to the driver.
     """
-    use_checkpoint_folder(counts.sparkSession)
-    hot = counts.filter(F.col("n") >= split_rows).select(*keys, "n").checkpoint()
+    hot = counts.filter(F.col("n") >= split_rows).select(*keys, "n")
     found = hot.agg(F.count(F.lit(1)).alias("number"), F.sum("n").alias("rows")).first()
     if not found["number"]:
         return HotGroups()
-    return HotGroups(hot.select(*keys), found["number"], found["rows"])
+    use_checkpoint_folder(counts.sparkSession)
+    return HotGroups(hot.select(*keys).checkpoint(), found["number"], found["rows"])
+
+
+def find_hot_groups_of_join(
+    counts: DataFrame,
+    weights: DataFrame,
+    exact: Callable[[HotGroups], DataFrame],
+    keys: list[str],
+    split_rows: int = SPLIT_ROWS,
+) -> HotGroups:
+    """Hot groups of rows that a join multiplies, mostly without joining them.
+
+    ``counts`` has the rows ``n`` of each group before the join, ``weights`` how many rows
+    ``w`` each of them can become. One job takes the largest of both: if their product is
+    below ``split_rows`` nothing can be hot. Else the groups that could be are candidates,
+    and ``exact`` counts these, and only these, as the window will see them.
+    """
+    largest = counts.agg(F.max("n").alias("n"), F.lit(None).cast("long").alias("w"))
+    widest = weights.agg(F.lit(None).cast("long").alias("n"), F.max("w").alias("w"))
+    top = largest.unionByName(widest).agg(F.max("n"), F.max("w")).first()
+    rows, factor = top[0] or 0, max(1, top[1] or 0)
+    if rows * factor < split_rows:
+        return HotGroups()
+    candidates = find_hot_groups(counts, keys, math.ceil(split_rows / factor))
+    if factor == 1 or candidates.keys is None:
+        return candidates
+    return find_hot_groups(exact(candidates), keys, split_rows)
 
 
 def _renamed(groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -91,7 +118,7 @@ def use_checkpoint_folder(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="hourmart-checkpoint-")
     context.setCheckpointDir(folder)

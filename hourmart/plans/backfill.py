@@ -17,7 +17,12 @@ from hourmart.functions.timebuckets import Moment, as_hour, in_range
 from hourmart.operators.neighbours import SPLIT_ROWS
 from hourmart.plans import core, marts, raw
 from hourmart.schemas import STAGING, TableSpec
-from hourmart.sources.tables import read_table, replace_hours, upsert_hours
+from hourmart.sources.tables import (
+    read_by_event_time,
+    read_table,
+    replace_hours,
+    upsert_hours,
+)
 
 REPLACE = "replace"
 UPSERT = "upsert"
@@ -39,6 +44,10 @@ class Run:
     def part(self, spec: TableSpec) -> DataFrame:
         return read_table(self.spark, spec, self.database, self.start, self.end)
 
+    def by_event(self, spec: TableSpec) -> DataFrame:
+        """Staging rows that may belong to the range by their own time."""
+        return read_by_event_time(self.spark, spec, self.database, self.start, self.end)
+
     def chain_inputs(self) -> tuple[DataFrame, dict]:
         browser = self.part(schemas.RAW_BROWSER)
         return browser, {"start": self.start, "end": self.end, "split_rows": self.split_rows}
@@ -53,13 +62,16 @@ class FrameRun(Run):
     def all(self, spec: TableSpec) -> DataFrame:
         return self.frames[spec.name]
 
+    def by_event(self, spec: TableSpec) -> DataFrame:
+        return self.frames[spec.name]
+
     def part(self, spec: TableSpec) -> DataFrame:
         return in_range(self.frames[spec.name], spec.hour, self.start, self.end)
 
 
 def _raw_browser(run: Run) -> DataFrame:
     # By event time: the rows may be loaded in any hour, before or after.
-    return raw.raw_browser_events(run.all(STAGING["browser_events"]), run.start, run.end)
+    return raw.raw_browser_events(run.by_event(STAGING["browser_events"]), run.start, run.end)
 
 
 def _buy_product(run: Run) -> DataFrame:
@@ -86,7 +98,7 @@ STEPS: tuple[tuple[TableSpec, Callable[[Run], DataFrame]], ...] = (
     (schemas.DM_TOP10_PAGE, lambda r: marts.dm_top10_page(r.part(schemas.CORE_BUY_PRODUCT))),
     (
         schemas.DM_HOURLY_EVENTS,
-        lambda r: marts.dm_hourly_events(r.all(STAGING["browser_events"]), r.start, r.end),
+        lambda r: marts.dm_hourly_events(r.by_event(STAGING["browser_events"]), r.start, r.end),
     ),
     (
         schemas.DM_DIST_EVENTS,

@@ -29,7 +29,7 @@ from hourmart.operators.dedupe import distinct_pairs
 from hourmart.operators.neighbours import (
     SPLIT_ROWS,
     Neighbours,
-    find_hot_groups,
+    find_hot_groups_of_join,
     place_in_slots,
     within_groups,
     without_groups,
@@ -72,6 +72,15 @@ def _events(
     return _Events(rows, rows.count() if bounded else None)
 
 
+def _rows_of(rows: DataFrame, group: list[str]) -> DataFrame:
+    return rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _pages_an_event(pages: DataFrame) -> DataFrame:
+    """How many rows an event becomes by the join with its pages."""
+    return pages.groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
+
+
 # --- purchase chains ---------------------------------------------------------
 
 CHAIN_GROUP = [EVENT_HOUR, "click_id"]
@@ -130,12 +139,19 @@ def core_buy_product(
     events = found.rows
     pages = found.lookup(location, "event_id", "page_url_path")
     users = found.lookup(device, "click_id", "user_custom_id")
-    views = events.join(pages, "event_id")
-    counts = views.groupBy(*CHAIN_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    hot = find_hot_groups(counts, CHAIN_GROUP, split_rows)
+    counts = _rows_of(events, CHAIN_GROUP)
+    hot = find_hot_groups_of_join(
+        counts,
+        _pages_an_event(pages),
+        lambda found: _rows_of(
+            within_groups(events, found, CHAIN_GROUP).join(pages, "event_id"), CHAIN_GROUP
+        ),
+        CHAIN_GROUP,
+        split_rows,
+    )
 
     if hot.keys is None:
-        bought = _bought_views(views)
+        bought = _bought_views(events.join(pages, "event_id"))
     else:
         plain = without_groups(events, hot, CHAIN_GROUP).join(pages, "event_id")
         large = within_groups(events, hot, CHAIN_GROUP).join(pages, "event_id")
@@ -176,22 +192,23 @@ def _funnel_rows(
     pages = found.lookup(location, "event_id", "page_url_path").withColumnRenamed(
         "page_url_path", "page_path"
     )
-    # Each event counts once for each of its pages.
-    weights = pages.groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
-    clicks = (
-        events.join(weights, "event_id", "left")
-        .groupBy(EVENT_HOUR, "click_id")
-        .agg(F.sum(F.coalesce("w", F.lit(1))).alias("n"))
-    )
+    # Counted by click before the users are joined: a click has few rows then.
+    clicks = _rows_of(events, [EVENT_HOUR, "click_id"])
     counts = (
         clicks.join(users, "click_id", "left").groupBy(*FUNNEL_GROUP).agg(F.sum("n").alias("n"))
     )
-    hot = find_hot_groups(counts, FUNNEL_GROUP, split_rows)
 
     def with_page(rows: DataFrame) -> DataFrame:
         return rows.join(pages, "event_id", "left").select(*FUNNEL_COLUMNS)
 
     with_user = events.join(users, "click_id", "left")
+    hot = find_hot_groups_of_join(
+        counts,
+        _pages_an_event(pages),
+        lambda found: _rows_of(with_page(within_groups(with_user, found, FUNNEL_GROUP)), FUNNEL_GROUP),
+        FUNNEL_GROUP,
+        split_rows,
+    )
     if hot.keys is None:
         plain = with_page(with_user)
         return [plain.repartition(*FUNNEL_GROUP).dropDuplicates(FUNNEL_COLUMNS)]

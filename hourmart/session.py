@@ -13,6 +13,10 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A write of many hours costs a file each, so little data is no reason for few tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
+    # Listing an hour's folder takes less than starting a task for it.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.ansi.enabled": "true",
     # Writes replace the partitions they have rows for; the writer checks that it is set.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -199,7 +199,9 @@ def store_objects(
     stray = F.when(F.col("table") != feed, F.struct("table", LOAD_HOUR))
     noted = checked.observe(seen, F.collect_set(stray).alias("strays"))
     own = parse_feed(noted.filter(F.col("table") == feed), feed)
-    overwrite_partitions(spark, own, STAGING[feed], database, spread=uneven)
+    # The listing tells the hours, no content is read.
+    loaded = sorted(row[0] for row in objects.select(LOAD_HOUR).distinct().collect())
+    overwrite_partitions(spark, own, STAGING[feed], database, spread=uneven, hours=loaded)
     hours: dict[str, list] = {}
     for other, hour in seen.get["strays"]:
         hours.setdefault(other, []).append(hour)
@@ -211,7 +213,8 @@ def store_objects(
             for source in FEEDS
         ]
         routed = reduce(DataFrame.unionByName, everywhere).filter(F.col("table") == other)
-        overwrite_partitions(spark, parse_feed(routed, other), STAGING[other], database)
+        rows = parse_feed(routed, other)
+        overwrite_partitions(spark, rows, STAGING[other], database, hours=sorted(set(stray_hours)))
 
 
 def load_feed(

@@ -8,7 +8,7 @@ partition with another, so writers of different hours may run side by side.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from hourmart.functions.timebuckets import Moment, as_hour, in_range, within
 from hourmart.operators.contracts import enforce, enforce_unique
 from hourmart.operators.merge import upsert
-from hourmart.schemas import TableSpec
+from hourmart.schemas import STAGING, TableSpec
+from hourmart.sources import hournotes
+from hourmart.sources.partitions import hours_between, in_runs
 
 _PARTITION_TYPES = {"dt": "DATE", "hr": "INT"}
 
@@ -43,29 +45,6 @@ def _partition_columns(spec: TableSpec) -> dict[str, Column]:
     return {name: known[name] for name in spec.partitions}
 
 
-def _days(start: Moment | None, end: Moment | None) -> Column:
-    """Partition predicate for every day a range touches."""
-    condition = F.lit(True)
-    if start is not None:
-        condition &= F.col("dt") >= F.lit(as_hour(start).date())
-    if end is not None:
-        condition &= F.col("dt") <= F.lit((as_hour(end) - timedelta(hours=1)).date())
-    return condition
-
-
-def _hours(start: Moment | None, end: Moment | None) -> Column:
-    """Partition predicate for a range of hours."""
-    dt, hr = F.col("dt"), F.col("hr")
-    condition = _days(start, end)
-    if start is not None:
-        first = as_hour(start)
-        condition &= (dt > F.lit(first.date())) | (hr >= first.hour)
-    if end is not None:
-        last = as_hour(end) - timedelta(hours=1)
-        condition &= (dt < F.lit(last.date())) | (hr <= last.hour)
-    return condition
-
-
 def read_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -79,7 +58,27 @@ def read_table(
     """
     rows = spark.table(ensure_table(spark, spec, database))
     if start is not None or end is not None:
-        rows = in_range(rows.filter(_hours(start, end)), spec.hour, start, end)
+        rows = in_range(rows.filter(hours_between(start, end)), spec.hour, start, end)
+    return rows.drop(*spec.partitions)
+
+
+def read_by_event_time(
+    spark: SparkSession,
+    spec: TableSpec,
+    database: str = "default",
+    start: Moment | None = None,
+    end: Moment | None = None,
+) -> DataFrame:
+    """A staging table's load hours that may hold events of ``[start, end)``.
+
+    Which these are is noted by every write; the rows still need the test of their own
+    time. Without notes, or without bounds, it is the whole table.
+    """
+    rows = spark.table(ensure_table(spark, spec, database))
+    if start is not None and end is not None:
+        hours = hournotes.load_hours_of_events(spark, database, as_hour(start), as_hour(end))
+        if hours is not None:
+            rows = rows.filter(in_runs(hours))
     return rows.drop(*spec.partitions)
 
 
@@ -96,9 +95,13 @@ def overwrite_partitions(
     spec: TableSpec,
     database: str = "default",
     spread: bool = True,
+    hours: list[datetime] | None = None,
 ) -> list[tuple]:
     """Replace the partitions the rows fall into; returns those partitions.
 
+    Writes of staging tables are noted (``hournotes``); ``hours`` are the load hours of the
+    rows, where they are known, else the rows are asked for them first.
+
     ``spread`` regroups rows by partition, so that an hour becomes few files,
     and a very large hour is shared by several tasks. The partitions are noted
     during the write: one entry an hour of the range.
@@ -107,12 +110,19 @@ def overwrite_partitions(
     name = ensure_table(spark, spec, database)
     hidden = {column: F.expr(expression) for column, _, expression in spec.hidden}
     placed = rows.select(*spec.names).withColumns(hidden | _partition_columns(spec))
+    notes = None
+    if STAGING.get(spec.name) is spec:
+        if hours is None:
+            hours = hournotes.load_hours(placed)
+        notes = hournotes.announce(spark, spec, database, hours)
     if spread:
         placed = placed.hint("rebalance", *[F.col(c) for c in spec.partitions])
     # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
     noted.write.insertInto(name, overwrite=True)
+    if notes is not None:
+        hournotes.note(spark, spec, database, notes)
     return [tuple(row) for row in seen.get["partitions"]]
 
 
@@ -125,7 +135,7 @@ def _partitions_in_range(
         .alias(name)
         for name in spec.partitions
     ]
-    return [tuple(row) for row in listed.select(*values).filter(_hours(start, end)).collect()]
+    return [tuple(row) for row in listed.select(*values).filter(hours_between(start, end)).collect()]
 
 
 def _drop_partitions(
