@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Keys are at most 40 characters, so this many stay well under 100 MB.
 BROADCAST_ROWS = 500_000
+# So few rows have their keys named in the plan: a scan of a bucketed, sorted history then
+# skips buckets, row groups by their least and greatest key, and others by Bloom filter.
+NAMED_ROWS = 1000
 
 
 def keep_matching(
@@ -27,4 +30,6 @@ def keep_matching(
     if wanted_rows > (BROADCAST_ROWS if limit is None else limit):
         return history
     keys = wanted.filter(F.col(key).isNotNull()).select(key).distinct()
+    if wanted_rows <= NAMED_ROWS:
+        history = history.filter(F.col(key).isin([row[0] for row in keys.collect()]))
     return history.join(F.broadcast(keys), key, "left_semi")

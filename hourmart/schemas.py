@@ -43,6 +43,8 @@ class TableSpec:
     ``hour`` names the column whose hour places a row in a partition by day and
     hour, so that writers of different hours never share one.
     ``hidden`` columns are computed on write and are not part of the read view.
+    ``clustered`` is the key other tables look rows up by: with ``spark.hourmart.buckets``
+    set, the table is created in that many sorted buckets of it.
     """
 
     name: str
@@ -53,6 +55,7 @@ class TableSpec:
     key: tuple[str, ...] = ()
     partitions: tuple[str, ...] = ("dt", "hr")
     hidden: tuple[tuple[str, str, str], ...] = ()
+    clustered: str = ""
 
     @property
     def schema(self) -> T.StructType:
@@ -67,6 +70,10 @@ class TableSpec:
 # keep a typed copy of the event time that only serves to skip row groups.
 EVENT_TIME_INDEX = "event_ts_index"
 
+LOOKUP_KEYS: dict[str, str] = {
+    "browser_events": "event_id", "device_events": "click_id", "location_events": "event_id",
+}
+
 STAGING: dict[str, TableSpec] = {
     feed: TableSpec(
         name=feed,
@@ -77,6 +84,7 @@ STAGING: dict[str, TableSpec] = {
             if feed == "browser_events"
             else ()
         ),
+        clustered=LOOKUP_KEYS.get(feed, ""),
     )
     for feed, fields in FEED_FIELDS.items()
 }
@@ -84,6 +92,7 @@ STAGING: dict[str, TableSpec] = {
 # Raw layer.
 RAW_BROWSER = TableSpec(
     name="raw_browser_events",
+    clustered=LOOKUP_KEYS["browser_events"],
     columns=(
         "click_id STRING, event_id STRING, event_timestamp TIMESTAMP_NTZ, event_type STRING, "
         "browser_name STRING, browser_language STRING, browser_user_agent STRING"
@@ -96,6 +105,7 @@ RAW_BROWSER = TableSpec(
 )
 RAW_DEVICE = TableSpec(
     name="raw_device_events",
+    clustered=LOOKUP_KEYS["device_events"],
     columns=f"{FEED_FIELDS['device_events']}, {LOAD_HOUR} TIMESTAMP_NTZ",
     hour=LOAD_HOUR,
     lengths=(
@@ -114,6 +124,7 @@ RAW_GEO = TableSpec(
 )
 RAW_LOCATION = TableSpec(
     name="raw_location_events",
+    clustered=LOOKUP_KEYS["location_events"],
     columns=f"{FEED_FIELDS['location_events']}, {LOAD_HOUR} TIMESTAMP_NTZ",
     hour=LOAD_HOUR,
     lengths=(

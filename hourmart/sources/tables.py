@@ -21,6 +21,7 @@ from hourmart.sources import hournotes
 from hourmart.sources.partitions import hours_between, in_runs
 
 _PARTITION_TYPES = {"dt": "DATE", "hr": "INT"}
+BUCKETS = "spark.hourmart.buckets"
 
 
 def full_name(spec: TableSpec, database: str) -> str:
@@ -33,13 +34,24 @@ def ensure_table(spark: SparkSession, spec: TableSpec, database: str = "default"
     columns += [f"{name} {kind}" for name, kind, _ in spec.hidden]
     columns += [f"{name} {_PARTITION_TYPES[name]}" for name in spec.partitions]
     name = full_name(spec, database)
+    number, bloom, buckets = _buckets(spark), "", ""
+    if spec.clustered and number:
+        bloom = f"OPTIONS ('parquet.bloom.filter.enabled#{spec.clustered}' = 'true') "
+        key = f"({spec.clustered})"
+        buckets = f" CLUSTERED BY {key} SORTED BY {key} INTO {number} BUCKETS"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) "
-        f"USING parquet PARTITIONED BY ({', '.join(spec.partitions)})"
+        f"USING parquet {bloom}PARTITIONED BY ({', '.join(spec.partitions)}){buckets}"
     )
     return name
 
 
+def _buckets(spark: SparkSession) -> int:
+    """Buckets of tables that others look up by key; none unless set, as each hour then has
+    that many files. Aim at a bucket of an hour of some 100 MB."""
+    return int(spark.conf.get(BUCKETS, "0"))
+
+
 def _partition_columns(spec: TableSpec) -> dict[str, Column]:
     known = {"dt": F.to_date(spec.hour), "hr": F.hour(spec.hour)}
     return {name: known[name] for name in spec.partitions}
@@ -116,7 +128,13 @@ def overwrite_partitions(
             hours = hournotes.load_hours(placed)
         notes = hournotes.announce(spark, spec, database, hours)
     if spread:
-        placed = placed.hint("rebalance", *[F.col(c) for c in spec.partitions])
+        parts = list(spec.partitions)
+        if spec.clustered and (number := _buckets(spark)):
+            # The rows of a bucket to one task, so that it becomes one sorted file.
+            parts.append("_bucket")
+            bucket = F.pmod(F.hash(spec.clustered), F.lit(number))
+            placed = placed.withColumn("_bucket", bucket)
+        placed = placed.hint("rebalance", *[F.col(c) for c in parts]).drop("_bucket")
     # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
