@@ -8,12 +8,11 @@ from datetime import timedelta
 
 from hourmart.functions.timebuckets import as_hour
 from hourmart.plans.backfill import REPLACE, TABLES, UPSERT, backfill
-from hourmart.plans.readiness import hours_ready
+from hourmart.plans.readiness import stored_hours_ready
 from hourmart.plans.refresh import refresh
-from hourmart.schemas import FEEDS, STAGING
+from hourmart.schemas import FEEDS
 from hourmart.session import build_session
-from hourmart.sources.landing import load_feed
-from hourmart.sources.tables import read_table
+from hourmart.sources.landing import load_changed, load_feed
 from hourmart.streaming.landing import land_incremental
 
 
@@ -28,6 +27,12 @@ def _arguments(given: Sequence[str] | None) -> argparse.Namespace:
     land.add_argument("--start")
     land.add_argument("--end")
 
+    changed = jobs.add_parser("land-changed", help="objects that are new or have been replaced")
+    changed.add_argument("root")
+    changed.add_argument("--feeds", nargs="+", choices=FEEDS, default=FEEDS)
+    changed.add_argument("--start")
+    changed.add_argument("--end")
+
     follow = jobs.add_parser("land-new", help="objects not seen before to staging")
     follow.add_argument("root")
     follow.add_argument("checkpoint")
@@ -55,6 +60,10 @@ def main(given: Sequence[str] | None = None) -> None:
     if args.job == "land":
         for feed in args.feeds:
             load_feed(spark, args.root, feed, args.start, args.end, args.database)
+    elif args.job == "land-changed":
+        for feed in args.feeds:
+            found = load_changed(spark, args.root, feed, args.start, args.end, args.database)
+            print(f"{feed}: {found} objects")
     elif args.job == "land-new":
         for feed in args.feeds:
             place = f"{args.checkpoint}/{feed}"
@@ -65,11 +74,8 @@ def main(given: Sequence[str] | None = None) -> None:
         hours = refresh(spark, args.database, args.marts_mode, reach=args.reach)
         print(f"{len(hours)} hours")
     else:
-        staging = {
-            f: read_table(spark, STAGING[f], args.database, args.start, args.end) for f in FEEDS
-        }
         hours = (as_hour(args.end) - as_hour(args.start)) // timedelta(hours=1)
-        report = hours_ready(staging, args.start, args.end).orderBy("load_hour")
+        report = stored_hours_ready(spark, args.start, args.end, args.database).orderBy("load_hour")
         report.show(hours, truncate=False)
 
 

@@ -6,7 +6,7 @@ hold all views of a group in one sorted list and find neighbours by place in it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +23,16 @@ from hourmart.sources.landing import parse_feed, route_members, unzip_lines, wit
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _raw(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "browser": raw.raw_browser_events(staging["browser_events"]),
-        "device": raw.raw_device_events(staging["device_events"]),
-        "geo": raw.raw_geo_events(staging["geo_events"]),
-        "location": raw.raw_location_events(staging["location_events"]),
-    }
+_RAW = {
+    "browser": raw.raw_browser_events,
+    "device": raw.raw_device_events,
+    "geo": raw.raw_geo_events,
+    "location": raw.raw_location_events,
+}
+
+
+def _raw(staging: Mapping[str, DataFrame], name: str) -> DataFrame:
+    return _RAW[name](staging[f"{name}_events"])
 
 
 # Groups above this share of all events are split, so that the split way is
@@ -38,7 +41,7 @@ _CLICK_SHARE = 500
 _USER_SHARE = 270
 
 
-def _sizes(staging: dict[str, DataFrame], split_share: int | None) -> dict[str, int]:
+def _sizes(staging: Mapping[str, DataFrame], split_share: int | None) -> dict[str, int]:
     if split_share is None:
         return {}
     return {"split_rows": max(20, staging["browser_events"].count() // split_share)}
@@ -52,11 +55,10 @@ def _bought(
     **bounds: str,
 ) -> DataFrame:
     staging = fixtures.staging_frames(spark, sf_dir)
-    tables = _raw(staging)
     return core.core_buy_product(
-        tables["browser"],
-        tables["location"],
-        tables["device"],
+        _raw(staging, "browser"),
+        _raw(staging, "location"),
+        _raw(staging, "device"),
         grain=grain,
         **_sizes(staging, split_share),
         **bounds,
@@ -85,7 +87,7 @@ _steps = partial(_funnel, core.funnel_steps)
 
 
 def _raw_query(name: str) -> Query:
-    return lambda spark, sf_dir: _raw(fixtures.staging_frames(spark, sf_dir))[name]
+    return lambda spark, sf_dir: _raw(fixtures.staging_frames(spark, sf_dir), name)
 
 
 def _hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,13 +170,13 @@ def _backfill_dist_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _raw(fixtures.staging_frames(spark, sf_dir))
+    staging = fixtures.staging_frames(spark, sf_dir)
     bought = _bought(spark, sf_dir)
     checked = [
-        (tables["browser"], schemas.RAW_BROWSER),
-        (tables["device"], schemas.RAW_DEVICE),
-        (tables["geo"], schemas.RAW_GEO),
-        (tables["location"], schemas.RAW_LOCATION),
+        (_raw(staging, "browser"), schemas.RAW_BROWSER),
+        (_raw(staging, "device"), schemas.RAW_DEVICE),
+        (_raw(staging, "geo"), schemas.RAW_GEO),
+        (_raw(staging, "location"), schemas.RAW_LOCATION),
         (bought, schemas.CORE_BUY_PRODUCT),
         (marts.dm_top10_page(bought), schemas.DM_TOP10_PAGE),
         # The rounded times of single purchases are no key of a table by hour.

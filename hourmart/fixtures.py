@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -114,14 +114,30 @@ def duckdb_ctes() -> str:
     return ",\n".join(parts)
 
 
-def staging_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class _Staging(Mapping):
+    """The feeds as frames; each is planned when it is first asked for."""
+
+    def __init__(self, base: DataFrame) -> None:
+        self._base, self._frames = base, {}
+
+    def __getitem__(self, feed: str) -> DataFrame:
+        if feed not in self._frames:
+            view = _VIEWS[feed].replace("FROM fx_base", "FROM {b}")
+            self._frames[feed] = self._base.sparkSession.sql(view, b=self._base)
+        return self._frames[feed]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(FEEDS)
+
+    def __len__(self) -> int:
+        return len(FEEDS)
+
+
+def staging_frames(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The four staging feeds derived from ``events``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     base = spark.sql(_BASE.format(**_DIALECTS["spark"]).replace("FROM events", "FROM {e}"), e=events)
-    return {
-        feed: spark.sql(_VIEWS[feed].replace("FROM fx_base", "FROM {b}"), b=base)
-        for feed in FEEDS
-    }
+    return _Staging(base)
 
 
 def zipped_objects(rows: DataFrame, feed: str) -> DataFrame:

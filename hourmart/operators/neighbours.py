@@ -64,14 +64,14 @@ def find_hot_groups_of_join(
     """Hot groups of rows that a join multiplies, mostly without joining them.
 
     ``counts`` has the rows ``n`` of each group before the join, ``weights`` how many rows
-    ``w`` each of them can become. One job takes the largest of both: if their product is
+    ``w`` each of them can become at most. One job takes the largest of both: if their product is
     below ``split_rows`` nothing can be hot. Else the groups that could be are candidates,
     and ``exact`` counts these, and only these, as the window will see them.
     """
-    largest = counts.agg(F.max("n").alias("n"), F.lit(None).cast("long").alias("w"))
-    widest = weights.agg(F.lit(None).cast("long").alias("n"), F.max("w").alias("w"))
-    top = largest.unionByName(widest).agg(F.max("n"), F.max("w")).first()
-    rows, factor = top[0] or 0, max(1, top[1] or 0)
+    largest = counts.agg(F.lit("n").alias("of"), F.max("n").alias("most"))
+    widest = weights.agg(F.lit("w").alias("of"), F.max("w").alias("most"))
+    most = {row["of"]: row["most"] or 0 for row in largest.unionByName(widest).collect()}
+    rows, factor = most["n"], max(1, most["w"])
     if rows * factor < split_rows:
         return HotGroups()
     candidates = find_hot_groups(counts, keys, math.ceil(split_rows / factor))

@@ -46,14 +46,18 @@ class _Events:
     rows: DataFrame
     counted: int | None
 
-    def lookup(self, history: DataFrame, key: str, value: str) -> DataFrame:
-        """Distinct (key, value) of a whole history, copies removed before the
-        join: one click or event may be stored under many load hours. A run over
-        a range that holds few events first cuts the history to their keys."""
+    def matching(self, history: DataFrame, key: str, value: str) -> DataFrame:
+        """(key, value) of a whole history; a run over a range that holds few events
+        cuts the history to their keys."""
         pairs = history.select(key, value)
         if self.counted is not None:
             pairs = keep_matching(pairs, self.rows, key, self.counted)
-        return distinct_pairs(pairs, key, value)
+        return pairs
+
+    def lookup(self, history: DataFrame, key: str, value: str) -> DataFrame:
+        """The same, copies removed before the join: one click or event may be
+        stored under many load hours."""
+        return distinct_pairs(self.matching(history, key, value), key, value)
 
 
 def _events(
@@ -76,9 +80,9 @@ def _rows_of(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _pages_an_event(pages: DataFrame) -> DataFrame:
-    """How many rows an event becomes by the join with its pages."""
-    return pages.groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
+def _most_pages(paged: DataFrame) -> DataFrame:
+    """How many rows an event can become at most by the join with its pages, copies and all."""
+    return paged.groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
 
 
 # --- purchase chains ---------------------------------------------------------
@@ -137,12 +141,13 @@ def core_buy_product(
     columns = ["event_id", "click_id", "event_timestamp", "event_type"]
     found = _events(browser, columns, start, end, grain)
     events = found.rows
-    pages = found.lookup(location, "event_id", "page_url_path")
+    paged = found.matching(location, "event_id", "page_url_path")
+    pages = distinct_pairs(paged, "event_id", "page_url_path")
     users = found.lookup(device, "click_id", "user_custom_id")
     counts = _rows_of(events, CHAIN_GROUP)
     hot = find_hot_groups_of_join(
         counts,
-        _pages_an_event(pages),
+        _most_pages(paged),
         lambda found: _rows_of(
             within_groups(events, found, CHAIN_GROUP).join(pages, "event_id"), CHAIN_GROUP
         ),
@@ -189,7 +194,8 @@ def _funnel_rows(
     found = _events(browser, columns, start, end, grain)
     events = found.rows
     users = found.lookup(device, "click_id", "user_custom_id")
-    pages = found.lookup(location, "event_id", "page_url_path").withColumnRenamed(
+    paged = found.matching(location, "event_id", "page_url_path")
+    pages = distinct_pairs(paged, "event_id", "page_url_path").withColumnRenamed(
         "page_url_path", "page_path"
     )
     # Counted by click before the users are joined: a click has few rows then.
@@ -204,7 +210,7 @@ def _funnel_rows(
     with_user = events.join(users, "click_id", "left")
     hot = find_hot_groups_of_join(
         counts,
-        _pages_an_event(pages),
+        _most_pages(paged),
         lambda found: _rows_of(with_page(within_groups(with_user, found, FUNNEL_GROUP)), FUNNEL_GROUP),
         FUNNEL_GROUP,
         split_rows,

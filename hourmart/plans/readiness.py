@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourmart.functions import bucket, in_range, plain_timestamp
 from hourmart.functions.timebuckets import HOUR, Moment, moment_literal
-from hourmart.schemas import FEEDS, LOAD_HOUR
+from hourmart.schemas import FEEDS, LOAD_HOUR, STAGING
+from hourmart.sources.partitions import hours_between
+from hourmart.sources.tables import ensure_table
 
 
 def hours_ready(
@@ -54,3 +56,18 @@ def hours_ready(
         .select("load_hour", *[F.coalesce(feed, F.lit(0)).alias(feed) for feed in FEEDS])
         .withColumn("ready", ready)
     )
+
+
+def stored_hours_ready(
+    spark: SparkSession, start: Moment, end: Moment, database: str = "default"
+) -> DataFrame:
+    """The same for the stored staging tables: the hour of a row is that of its partition, so
+    no column is read and the rows are counted from file footers."""
+    staging = {}
+    for feed in FEEDS:
+        stored = spark.table(ensure_table(spark, STAGING[feed], database))
+        hour = F.make_timestamp_ntz(
+            F.year("dt"), F.month("dt"), F.day("dt"), F.col("hr"), F.lit(0), F.lit(0)
+        )
+        staging[feed] = stored.filter(hours_between(start, end)).select(hour.alias(LOAD_HOUR))
+    return hours_ready(staging, start, end)

@@ -15,8 +15,6 @@ SETTINGS: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
     # Keys of a small run are named one by one to the scan.
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
-    # A write of many hours costs a file each, so little data is no reason for few tasks.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
     # Listing an hour's folder takes less than starting a task for it.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.ansi.enabled": "true",

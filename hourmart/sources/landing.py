@@ -19,16 +19,22 @@ from pyspark.sql import functions as F
 from hourmart.functions.timebuckets import Moment, as_hour, in_range, moment_literal
 from hourmart.schemas import FEEDS, LOAD_HOUR, STAGING, feed_schema
 from hourmart.sources.tables import overwrite_partitions
+from hourmart.sources.zipmembers import (
+    BLOCK_SCHEMA,
+    block_rows,
+    can_open,
+    members,
+    read_members,
+)
 
 OBJECT_SCHEMA = (
     "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, "
     "year INT, month INT, day INT, hour INT"
 )
-BLOCK_SCHEMA = f"{LOAD_HOUR} TIMESTAMP_NTZ, member STRING, block STRING"
 _SUFFIX = ".jsonl"
-_BLOCK_BYTES = 4 << 20
 _CORRUPT = "_corrupt_line"
-# Compressed size from which an object's lines are handed on to other tasks.
+# Compressed size from which an object is read member by member, and its lines are handed on to
+# other tasks.
 LARGE_OBJECT = 128 << 20
 
 
@@ -93,48 +99,24 @@ def with_load_hour(
 ) -> DataFrame:
     """Adds the load hour; the range is a predicate on folder names alone."""
     return in_range(objects, _load_hour(), start, end).select(
-        _load_hour().alias(LOAD_HOUR), "path", "length", "content"
+        _load_hour().alias(LOAD_HOUR), "path", "length", "content", *_version(objects)
     )
 
 
-def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of whole lines of every member; lines are cut apart by Spark."""
+def _version(objects: DataFrame) -> list[str]:
+    return [name for name in objects.columns if name == "modificationTime"]
 
-    def blocks(archive: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[bytes]:
-        rest: list[bytes] = []
-        with archive.open(entry) as text:
-            while chunk := text.read(_BLOCK_BYTES):
-                head, newline, tail = chunk.rpartition(b"\n")
-                if newline:
-                    yield b"".join([*rest, head])
-                    rest = []
-                rest.append(tail)
-        yield b"".join(rest)
 
+def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole lines of every member; lines are cut apart by Spark."""
     for batch in batches:
         for hour, content in zip(batch.column(LOAD_HOUR), batch.column("content")):
             with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                for entry in archive.infolist():
-                    if entry.is_dir():
-                        continue
-                    for block in blocks(archive, entry):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([hour.as_py()], pa.timestamp("us")),
-                                pa.array([entry.filename], pa.string()),
-                                pa.array([block.decode("utf-8")], pa.string()),
-                            ],
-                            names=[LOAD_HOUR, "member", "block"],
-                        )
+                for name in members(archive):
+                    yield from block_rows(archive, name, hour.as_py())
 
 
-def unzip_lines(objects: DataFrame) -> DataFrame:
-    """One row per non-blank line of every member, unzipped on the executors.
-
-    A member is read as a stream and sent on in blocks of whole lines, so a task
-    holds the compressed object and one block (or line, if that is longer).
-    """
-    blocks = objects.select(LOAD_HOUR, "content").mapInArrow(_unzip, BLOCK_SCHEMA)
+def _lines(blocks: DataFrame) -> DataFrame:
     line = F.btrim(F.col("line"), F.lit(" \t\r\x0b\f"))
     return (
         blocks.select(LOAD_HOUR, "member", F.explode(F.split("block", "\n")).alias("line"))
@@ -143,6 +125,30 @@ def unzip_lines(objects: DataFrame) -> DataFrame:
     )
 
 
+def unzip_lines(objects: DataFrame) -> DataFrame:
+    """One row per non-blank line of every member, unzipped on the executors.
+
+    A member is read as a stream and sent on in blocks of whole lines, so a task
+    holds the compressed object and one block (or line, if that is longer).
+    """
+    return _lines(objects.select(LOAD_HOUR, "content").mapInArrow(_unzip, BLOCK_SCHEMA))
+
+
+def object_lines(objects: DataFrame) -> DataFrame:
+    """The same for listed objects of any size: large ones are opened where they lie and
+    read member by member, each member in a task of its own."""
+    large = objects.filter(F.col("length") >= LARGE_OBJECT).select(LOAD_HOUR, "path")
+    # The listing tells, no content is read; large objects are few.
+    apart = [(row[0], row[1]) for row in large.collect()]
+    # Elsewhere an object must fit in one value.
+    if not apart or not all(can_open(path) for _, path in apart):
+        return unzip_lines(objects)
+    # A test of the length reaches the scan, which then never opens them.
+    rest = objects.filter(F.col("length") < LARGE_OBJECT)
+    members_of_large = _lines(read_members(objects.sparkSession, apart))
+    return unzip_lines(rest).unionByName(members_of_large)
+
+
 def route_members(lines: DataFrame) -> DataFrame:
     """Adds ``table``: the member's name without its suffix."""
     keep = F.length("member") - len(_SUFFIX)
@@ -172,7 +178,7 @@ def read_lines(
     end: Moment | None = None,
 ) -> DataFrame:
     """A feed's lines with the table each belongs to."""
-    return route_members(unzip_lines(scan_objects(spark, root, feed, start, end)))
+    return route_members(object_lines(scan_objects(spark, root, feed, start, end)))
 
 
 def store_objects(
@@ -182,13 +188,13 @@ def store_objects(
 
     Usually each task unzips, parses and writes its own objects and nothing is
     shuffled. If some object is large (the listing tells, no content is read),
-    its one task only unzips and the lines are spread over all tasks.
+    the tasks of its members only unzip and the lines are spread over all tasks.
     The feed's own rows are written in one pass, which also notes the hours whose
     members name other tables. Normally there are none. If there are, just these
     hours of such a table are rewritten from the objects of all feeds, as its own
     object may hold rows of the same hour.
     """
-    lines = route_members(unzip_lines(objects))
+    lines = route_members(object_lines(objects))
     uneven = (objects.agg(F.max("length")).first()[0] or 0) >= LARGE_OBJECT
     if uneven:
         lines = lines.hint("rebalance")
@@ -209,7 +215,7 @@ def store_objects(
         wanted = F.col(LOAD_HOUR).isin([moment_literal(hour) for hour in stray_hours])
         first, end = min(stray_hours), max(stray_hours) + timedelta(hours=1)
         everywhere = [
-            route_members(unzip_lines(scan_objects(spark, root, source, first, end).filter(wanted)))
+            route_members(object_lines(scan_objects(spark, root, source, first, end).filter(wanted)))
             for source in FEEDS
         ]
         routed = reduce(DataFrame.unionByName, everywhere).filter(F.col("table") == other)
@@ -217,6 +223,50 @@ def store_objects(
         overwrite_partitions(spark, rows, STAGING[other], database, hours=sorted(set(stray_hours)))
 
 
+LEDGER = "landed_objects"
+
+
+def _ledger(spark: SparkSession, database: str) -> str:
+    name = f"{database}.{LEDGER}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (path STRING, modified TIMESTAMP, length BIGINT, "
+        "feed STRING) USING parquet PARTITIONED BY (feed)"
+    )
+    return name
+
+
+def load_changed(
+    spark: SparkSession,
+    root: str,
+    feed: str,
+    start: Moment | None = None,
+    end: Moment | None = None,
+    database: str = "default",
+) -> int:
+    """Land a feed's objects that are new or not as they were when they last landed; returns
+    their number. A ledger keeps path, time and length of each version that has landed; it is
+    written last, so what fails is landed again."""
+    ledger = _ledger(spark, database)
+    listed = scan_objects(spark, root, feed, start, end)
+    seen = spark.table(ledger).filter(F.col("feed") == feed).drop("feed")
+    version = listed.select(
+        "path", F.col("modificationTime").alias("modified"), "length", LOAD_HOUR
+    )
+    new = version.join(seen, ["path", "modified", "length"], "left_anti").collect()
+    if not new:
+        return 0
+    hours = sorted({row[LOAD_HOUR] for row in new})
+    found = scan_objects(spark, root, feed, hours[0], hours[-1] + timedelta(hours=1))
+    wanted = found.filter(F.col(LOAD_HOUR).isin([moment_literal(hour) for hour in hours]))
+    store_objects(spark, wanted, feed, root, database)
+    landed = spark.createDataFrame(
+        [(row["path"], row["modified"], row["length"], feed) for row in new],
+        "path STRING, modified TIMESTAMP, length BIGINT, feed STRING",
+    )
+    landed.coalesce(1).write.insertInto(ledger, overwrite=False)
+    return len(new)
+
+
 def load_feed(
     spark: SparkSession,
     root: str,

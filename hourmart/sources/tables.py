@@ -8,7 +8,10 @@ partition with another, so writers of different hours may run side by side.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +104,34 @@ def _require_dynamic(spark: SparkSession) -> None:
         raise RuntimeError("set spark.sql.sources.partitionOverwriteMode to dynamic to write")
 
 
+class _WideWrites:
+    """While any write runs, little data is no reason for few tasks: every hour costs a file,
+    and one task would write them one after another. Writes may run side by side."""
+
+    KEY, SIZE = "spark.sql.adaptive.coalescePartitions.minPartitionSize", "4KB"
+
+    def __init__(self) -> None:
+        self._lock, self._running, self._before = Lock(), 0, None
+
+    @contextmanager
+    def __call__(self, spark: SparkSession) -> Iterator[None]:
+        with self._lock:
+            if not self._running:
+                self._before = spark.conf.get(self.KEY)
+                spark.conf.set(self.KEY, self.SIZE)
+            self._running += 1
+        try:
+            yield
+        finally:
+            with self._lock:
+                self._running -= 1
+                if not self._running:
+                    spark.conf.set(self.KEY, self._before)
+
+
+_WIDE = _WideWrites()
+
+
 def overwrite_partitions(
     spark: SparkSession,
     rows: DataFrame,
@@ -138,7 +169,8 @@ def overwrite_partitions(
     # Noted last: above the shuffle it is still there when no row arrives.
     seen = Observation()
     noted = placed.observe(seen, F.collect_set(F.struct(*spec.partitions)).alias("partitions"))
-    noted.write.insertInto(name, overwrite=True)
+    with _WIDE(spark):
+        noted.write.insertInto(name, overwrite=True)
     if notes is not None:
         hournotes.note(spark, spec, database, notes)
     return [tuple(row) for row in seen.get["partitions"]]
