@@ -177,25 +177,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows of one id, source and text are alike to the mix and share its turns one by one.
     """
-    own = docs.columns
     mixed = mix(docs, **options).filter("taken > 0").select(
-        F.col("digest").alias("_digest"),
-        F.col("doc_id").alias("_doc_id"),
-        F.col("source").alias("_source"),
-        F.col("copy").alias("_copy"),
-        (F.col("taken") / F.col("size")).cast("int").alias("_times"),
+        "digest", "doc_id", "source", "copy", (F.col("taken") / F.col("size")).cast("int").alias("times")
     )
+    # The row goes along as one value, so that none of its columns can clash with ours.
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", _digest().alias("digest"))
     nth = F.row_number().over(
-        Window.partitionBy("_digest", "doc_id", "source").orderBy(F.lit(1))
+        Window.partitionBy("digest", "doc_id", "source").orderBy(F.lit(1))
     ).cast("long")
-    rows = docs.withColumn("_digest", _digest()).withColumn("_nth", nth).alias("l")
-    right = mixed.alias("r")
-    met = rows.join(
+    left, right = rows.withColumn("nth", nth).alias("l"), mixed.alias("r")
+    met = left.join(
         right,
-        (F.col("l._digest") == F.col("r._digest"))
-        & F.col("l.doc_id").eqNullSafe(F.col("r._doc_id"))
-        & F.col("l.source").eqNullSafe(F.col("r._source"))
-        & (F.col("l._nth") == F.col("r._copy")),
+        (F.col("l.digest") == F.col("r.digest"))
+        & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
+        & F.col("l.source").eqNullSafe(F.col("r.source"))
+        & (F.col("l.nth") == F.col("r.copy")),
     )
-    turns = F.explode(F.sequence(F.lit(1), F.col("r._times")))
-    return met.select(*[F.col(f"l.{c}") for c in own], turns.alias("_turn")).select(*own)
+    turns = F.explode(F.sequence(F.lit(1), F.col("r.times")))
+    return met.select("l.row", turns.alias("turn")).select("row.*")

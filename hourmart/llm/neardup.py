@@ -253,14 +253,17 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         .filter("NOT alone")
         .groupBy("root")
         .agg(least.alias("least"))
-        .select(F.col("least.node").alias("_node"), F.col("least.doc_id").alias("_kept"))
+        .select("least.node", F.col("least.doc_id").alias("kept"))
         .alias("r")
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     blank = text.rlike(r"^[\x20\x09-\x0D]*$")
-    left = docs.filter(~blank).withColumn("_node", F.unhex(F.md5(text))).alias("l")
-    met = left.join(first, F.col("l._node") == F.col("r._node")).filter(
-        F.col("l.doc_id").cast("long").eqNullSafe(F.col("r._kept"))
-    )
-    one = met.select("l.*").dropDuplicates(["_node"]).drop("_node")
-    return one.unionByName(docs.filter(blank))
+    # The row goes along as one value, so that none of its columns can clash with ours.
+    left = docs.filter(~blank).select(
+        F.struct("*").alias("row"),
+        F.unhex(F.md5(text)).alias("node"),
+        F.col("doc_id").cast("long").alias("own"),
+    ).alias("l")
+    same = (F.col("l.node") == F.col("r.node")) & F.col("l.own").eqNullSafe(F.col("r.kept"))
+    one = left.join(first, same).select("l.row", "l.node").dropDuplicates(["node"])
+    return one.select("row.*").unionByName(docs.filter(blank))
