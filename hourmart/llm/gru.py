@@ -12,9 +12,11 @@ from collections import Counter
 
 import numpy as np
 
+from hourmart.llm.common import kgram_hashes
+
 EMBED, HIDDEN, POOL = 8, 8, 8
 WINDOW, STRIDE = 32, 16
-BATCH = 1024
+BATCH = 4096
 # A word or n-gram needs so many documents of the sample to be known.
 LEAST = 8
 DECAY = 0.2
@@ -24,9 +26,16 @@ def plain(word: bytes) -> str:
     return word.decode("utf-8", "replace").lower().strip(".,;:!?()[]{}\"'`|*#$%&<>-_/\\")
 
 
+GRAMS = (3, 4, 5, 6)
+
+
 def grams(word: str) -> list[str]:
     edged = f"^{word}$"
-    return [edged[i : i + n] for n in (3, 4, 5, 6) for i in range(len(edged) - n + 1)]
+    return [edged[i : i + n] for n in GRAMS for i in range(len(edged) - n + 1)]
+
+
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -45,6 +54,13 @@ class Lookup:
 
     def __init__(self, words: dict[str, int], parts: dict[str, int]) -> None:
         self.words, self.parts = words, parts
+        # Of each length the hashes of the known n-grams, sorted, and their rows.
+        self.known = {}
+        for n in GRAMS:
+            own = [g for g in parts if len(g) == n]
+            hashes = kgram_hashes(points("".join(own)), n)[::n]
+            order = np.argsort(hashes)
+            self.known[n] = hashes[order], np.array([parts[g] for g in own], np.int64)[order]
 
     @classmethod
     def of(cls, texts: list[list[str]]) -> Lookup:
@@ -59,11 +75,25 @@ class Lookup:
     def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row of each word; rows of all n-grams in one line, and whose word each is."""
         own = np.array([self.words.get(w, 0) for w in words], np.int64)
-        parts = self.parts
-        found = [[parts[g] for g in grams(w) if g in parts] for w in words]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        line = np.array([r for f in found for r in f], np.int64)
-        return own, line, np.repeat(np.arange(len(words)), sizes)
+        text = points("".join([f"^{w}$" for w in words]))
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        word = np.repeat(np.arange(len(words)), sizes)
+        lines, owners = [], []
+        for n, (hashes, rows) in self.known.items():
+            if not len(rows) or len(text) < n:
+                continue
+            inside = np.flatnonzero(np.arange(n, len(text) + 1) <= ends[: len(text) - n + 1])
+            found = kgram_hashes(text, n)[inside]
+            at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+            same = hashes[at] == found
+            lines.append(rows[at[same]])
+            owners.append(word[inside[same]])
+        if not lines:
+            return own, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        line, owner = np.concatenate(lines), np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return own, line[order], owner[order]
 
 
 class Network:
@@ -171,14 +201,61 @@ class Network:
         there = at < sizes[text][:, None]
         return np.where(there, begin[text][:, None] + at, 0), there
 
-    def logits(self, vectors: np.ndarray, words: np.ndarray, sizes: np.ndarray):
-        """Logits of all windows, with their texts and first words; ``words`` are rows of ``vectors``."""
+    def gates(self, vectors: np.ndarray) -> np.ndarray:
+        """What words bring to the gates of each direction, whatever stands around them.
+
+        Inputs of a sigmoid are halved: it is computed as a hyperbolic tangent.
+        """
+        out = np.empty((len(vectors), 2, 3 * HIDDEN), np.float32)
+        for i, way in enumerate(("ahead", "back")):
+            out[:, i] = vectors @ self.weights[f"{way} in"] + self.weights[f"{way} bias"]
+        out[:, :, : 2 * HIDDEN] *= 0.5
+        return out
+
+    def _infer(self, gates: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """The logits that ``forward`` gives, both directions step by step at once."""
+        w, h, (many, steps) = self.weights, HIDDEN, at.shape
+        own = np.stack([w["ahead own"], w["back own"]])
+        own[:, :, : 2 * h] *= 0.5
+        forth, back = (np.ascontiguousarray(gates[:, i]) for i in range(2))
+        at, there = np.ascontiguousarray(at.T), np.ascontiguousarray(there.T)
+        state = np.zeros((2, many, h), np.float32)
+        states = np.empty((steps, many, 2 * h), np.float32)
+        a = np.empty((2, many, 3 * h), np.float32)
+        for t in range(steps):
+            np.take(forth, at[t], axis=0, out=a[0])
+            np.take(back, at[steps - 1 - t], axis=0, out=a[1])
+            u = state @ own
+            zr = a[:, :, : 2 * h] + u[:, :, : 2 * h]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            n = zr[:, :, h:] * u[:, :, 2 * h :]
+            n += a[:, :, 2 * h :]
+            np.tanh(n, out=n)
+            state -= n
+            state *= zr[:, :, :h]
+            state += n
+            # What follows the last word must not reach the others: it comes last ahead, first back.
+            state[1] *= there[steps - 1 - t][:, None]
+            states[t, :, :h] = state[0]
+            states[steps - 1 - t, :, h:] = state[1]
+        s = np.tanh(states @ w["attend"]) @ w["query"]
+        s[~there] = -1e9
+        s = np.exp(s - s.max(axis=0)) * there
+        s /= np.maximum(s.sum(axis=0), 1e-9)
+        return (s * (states @ w["out"])).sum(axis=0) + w["bias"][0]
+
+    def logits(self, gates: np.ndarray, words: np.ndarray, sizes: np.ndarray):
+        """Logits of all windows, with their texts and first words; ``words`` are rows of ``gates``."""
         begin = np.cumsum(sizes) - sizes
         words = words if len(words) else np.zeros(1, np.int64)
-        found = []
+        # Only the words that occur, side by side.
+        kinds, words = np.unique(words, return_inverse=True)
+        gates, found = gates[kinds], []
         for text, first in self._batches(sizes):
             at, there = self.places(text, first, begin, sizes)
-            found.append((text, first, self.forward(vectors[words[at]], there)[-1]))
+            found.append((text, first, self._infer(gates, words[at], there)))
         return tuple(map(np.concatenate, zip(*found)))
 
     def train(self, texts: list[list[str]], labels: np.ndarray, epochs: int = 10, rate: float = 0.01) -> None:
@@ -195,7 +272,8 @@ class Network:
         moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.weights.items()}
         step = 0
         for epoch in range(epochs):
-            text, first, logit = self.logits(self.embed(own, line, owner), words, sizes)
+            known = self.gates(self.embed(own, line, owner))
+            text, first, logit = self.logits(known, words, sizes)
             noise = rng.random(len(text))
             best = np.lexsort((logit if epoch else noise, text))
             best = best[np.append(np.diff(text[best]) > 0, True)]

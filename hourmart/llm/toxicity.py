@@ -60,23 +60,26 @@ def fit(
 def _score(network: gru.Network | None, most: int = 300_000):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[bytes, int] = {}
-        vectors = np.zeros((0, 2 * gru.EMBED), np.float32)
+        # Rows of known words; the array is larger than they need.
+        gates = np.zeros((1024, 2, 3 * gru.HIDDEN), np.float32)
         for batch in slices(batches):
             split = [t.split() for t in texts(batch.column("text"))]
             scores = np.zeros(len(split))
             if network is not None:
                 if len(number) > most:
-                    number, vectors = {}, vectors[:0]
+                    number = {}
                 flat = [w for ws in split for w in ws]
                 new = list(set(flat).difference(number))
-                if new or not len(vectors):
-                    new = new or [b""]
-                    rows = network.lookup.rows([gru.plain(w) for w in new])
-                    number.update(zip(new, range(len(vectors), len(vectors) + len(new))))
-                    vectors = np.concatenate([vectors, network.embed(*rows)])
+                if new:
+                    rows, low = network.lookup.rows([gru.plain(w) for w in new]), len(number)
+                    number.update(zip(new, range(low, low + len(new))))
+                    if len(number) > len(gates):
+                        grown = np.zeros((2 * len(number), *gates.shape[1:]), np.float32)
+                        grown[:low], gates = gates[:low], grown
+                    gates[low : low + len(new)] = network.gates(network.embed(*rows))
                 words = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
                 sizes = np.array([len(ws) for ws in split])
-                text, _, logit = network.logits(vectors, words, sizes)
+                text, _, logit = network.logits(gates, words, sizes)
                 top = np.full(len(split), -np.inf)
                 np.maximum.at(top, text, logit)
                 scores = gru.sigmoid(top)

@@ -175,3 +175,15 @@ def test_gradient_of_the_recurrent_network():
             down = loss()
             value[place] = old
             assert gradient[place] == pytest.approx((up - down) / (2 * step), abs=2e-3)
+
+
+def test_rows_of_n_grams_are_those_of_the_table():
+    texts = [["wörter", "word", "漢字漢字", "a", ""], ["words", "wörter", "漢字漢字", "ab"]] * gru.LEAST
+    lookup = gru.Lookup.of(texts)
+    words = ["word", "", "wörterbuch", "漢字", "漢字漢字", "zzz", "a", "ab", "words"]
+    own, line, owner = lookup.rows(words)
+    assert own.tolist() == [lookup.words.get(w, 0) for w in words]
+    expected = [(i, lookup.parts[g]) for i, w in enumerate(words) for g in gru.grams(w) if g in lookup.parts]
+    assert list(zip(owner.tolist(), line.tolist())) == expected and len(expected) > 20
+    assert [len(part) for part in lookup.rows([])] == [0, 0, 0]
+    assert len(gru.Lookup({}, {}).rows(["word"])[1]) == 0
