@@ -479,8 +479,21 @@ def test_attention_learns_whole_distinct_texts(spark):
     assert found[-1] - found[-2] > 0.1 * 300
 
 
-def test_attention_averages_tasks(spark, monkeypatch):
-    monkeypatch.setattr(scoring, "ALONE_CHARS", 0)
+def test_scores_follow_the_rows_not_their_layout(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SHARD_CHARS", 1 << 18)
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    scores = lambda rows: sorted(
+        tuple(r) for r in scoring.score(rows, id_hash(7) != 2, h.TOKENIZER).collect()
+    )
+    found = scores(docs)
+    assert found == scores(docs.repartition(7, "text").orderBy(scoring.F.desc("doc_id")))
+    # The weights are fitted on training texts, where no word is new.
+    base, score = np.sum([r[5:] for r in found if not r[1]], axis=0)
+    assert score > base + 0.005 * abs(base)
+
+
+def test_attention_averages_shards(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SHARD_CHARS", 1 << 19)
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     split = [r["text"].encode().lower().split() for r in docs.filter("doc_id % 5 = 0").collect()]
     learned = docs.filter("doc_id % 5 > 0")
