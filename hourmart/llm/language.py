@@ -10,7 +10,8 @@ that were seen are held. The language with the shortest code for the whole text
 ASCII letters are folded to lower case, digits to one symbol, white space to one; every other byte
 of the training texts is a symbol of its own, and those they never have share one. Null texts and texts without a letter are ``und``
 with score 0. The score is the share of the best language if code lengths per byte are read as odds.
-Without training rows every text is ``und``.
+Without training rows every text is ``und``. Repeated rows are judged alike and learned once; very
+long texts are read whole, one at a time. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from hourmart.llm.common import slices, texts
 ORDER = 3
 # The model is fitted on so many different documents of each language, read whole.
 FIT_DOCUMENTS = 96
+# Parts of the documents of a language, each of which names its candidates for the sample.
+PARTS = 64
 # Characters of a language after which no further document is taken; the last one is whole, too.
 FIT_TOTAL = 4 << 20
 # Bytes from which the odds of a text do not get steeper.
@@ -189,8 +192,14 @@ def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS, total: int = FIT_TO
         "lang", "text", F.md5("text").alias("digest")
     )
     kinds = rows.groupBy("lang", "digest").agg(F.max(F.length("text").cast("long")).alias("size"))
+    # First the least of every part of a language, so that what one task gets does not grow with the
+    # documents of a language.
+    least = lambda rows, *by: rows.withColumn(
+        "nth", F.row_number().over(Window.partitionBy("lang", *by).orderBy("digest"))
+    ).filter(F.col("nth") <= documents)
+    some = least(kinds.withColumn("dealt", F.pmod(F.xxhash64("digest"), F.lit(PARTS))), "dealt")
+    some = least(some.drop("dealt", "nth"))
     by_digest = Window.partitionBy("lang").orderBy("digest")
-    some = kinds.withColumn("nth", F.row_number().over(by_digest)).filter(F.col("nth") <= documents)
     before = F.sum("size").over(by_digest.rowsBetween(Window.unboundedPreceding, -1))
     some = some.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < total)
     # Broadcast: at most so many short rows of each language.
