@@ -66,13 +66,22 @@ measured AS (
          coalesce(list_sum([length(w) for w in words]), 0)::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-         coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(list_filter(words, lambda w:
+             regexp_matches(w, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) AS n_letter_words,
+         len(list_filter(lines, lambda line:
+             regexp_matches(line, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) AS n_cut_lines,
+         len(list_filter(lines, lambda line:
+             regexp_matches(line, '\A[\x20\x09-\x0D]*[-*•]'))) AS n_bullet_lines
   FROM split s LEFT JOIN covered c USING (row_id)),
 judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 7 * n_lines
-            OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * n_letter_words < n_words
+            OR (n_cut_lines > 1 AND 10 * n_cut_lines > 3 * n_lines)
+            OR (n_bullet_lines > 1 AND 10 * n_bullet_lines > 9 * n_lines)) AS kept
 FROM judged
 """
 

@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a test over a few measures of the text. Cost and share of rejected
-texts of each rule are estimated on a bounded sample; the cascade then asks the
-rules in the order of rejections per second, and a text that fails one rule is
-not asked the rest. The verdict is that of all rules, whatever the order.
-
-Null and empty texts have no words and fail. Repeated rows are judged one by one.
+Each rule is a test over a few measures of the text. Cost and share of rejected texts of each rule
+are estimated on a sample by hash; the cascade then asks the rules in the order of rejections
+per second. The measures of a rule are computed when it is asked, so a text that fails one rule
+costs nothing more. The verdict is that of all rules, whatever the order.
+
+Null and empty texts have no words and fail. Repeated rows are judged one by one. A very long text
+is one row like any other, judged whole. An empty table gives no rows. Other columns do not matter,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,8 +24,11 @@ from hourmart.llm.common import SPACES, WORD, let, saved
 
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]"
-# Rows of the sample on which cost and selectivity are estimated.
-SAMPLE_ROWS = 512
+LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
+CUT = r"(\.\.\.|…)[\x20\x09-\x0D]*\z"
+BULLET = r"\A[\x20\x09-\x0D]*[-*•]"
+# Rows of the sample on which cost and selectivity are estimated, on average, and how often each is timed.
+SAMPLE_ROWS, TIMES = 512, 2
 
 
 def words(text: Column) -> Column:
@@ -42,6 +47,11 @@ def lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
 
 
+def n_such(all_: Column, pattern: str) -> Column:
+    """How many of the words or lines have the pattern."""
+    return F.size(F.filter(all_, lambda one: one.rlike(pattern))).cast("long")
+
+
 def n_dup_lines(text: Column) -> Column:
     return let(lines(text), lambda all_: F.size(all_) - F.size(F.array_distinct(all_))).cast("long")
 
@@ -99,7 +109,12 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
     "n_dup_lines": lambda text, words: n_dup_lines(text),
     "n_repeat_words": lambda text, words: n_repeat_words(words),
     "n_lines": lambda text, words: F.size(lines(text)).cast("long"),
+    "n_letter_words": lambda text, words: n_such(words, LETTER),
+    "n_cut_lines": lambda text, words: n_such(lines(text), CUT),
+    "n_bullet_lines": lambda text, words: n_such(lines(text), BULLET),
 }
+# Measures that ``judge`` returns, so that they are computed for every row.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -113,6 +128,12 @@ class Rule:
         """The rule on a text, computing what it needs only."""
         return self.rejects(lambda measure: MEASURES[measure](text, words))
 
+    def needs(self) -> set[str]:
+        """Names of its measures."""
+        asked: set[str] = set()
+        self.rejects(lambda measure: asked.add(measure) or F.lit(0))
+        return asked
+
 
 RULES = (
     Rule("few words", lambda m: m("n_words") < 10),
@@ -123,6 +144,15 @@ RULES = (
         "word length",
         lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words")),
     ),
+    Rule("few letters", lambda m: 2 * m("n_letter_words") < m("n_words")),
+    Rule(
+        "cut lines",
+        lambda m: (m("n_cut_lines") > 1) & (10 * m("n_cut_lines") > 3 * m("n_lines")),
+    ),
+    Rule(
+        "bullet lines",
+        lambda m: (m("n_bullet_lines") > 1) & (10 * m("n_bullet_lines") > 9 * m("n_lines")),
+    ),
 )
 BASE = ("few words", "repeated words")
 
@@ -131,27 +161,45 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def sample(docs: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` texts by the hash of id and text, so from anywhere in the table."""
+    many = max(docs.count(), 1)
+    bound = -(2**63) + min(2**64 * rows // many, 2**64 - 1)
+    taken = docs.filter(F.xxhash64("doc_id", "text") <= F.lit(bound))
+    # Equal rows have equal hashes; the limit only bounds what they add.
+    return saved(taken.select(whole(F.col("text")).alias("text")).limit(4 * rows))
+
+
 def estimate(
     docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS
 ) -> list[tuple[Rule, float, float]]:
-    """Each rule with its seconds a row and its share of rejected rows on the sample.
+    """Each rule with its seconds a row and its share of rejected rows on a sample.
 
-    The sample is bounded by ``rows``: it only ranks the rules, so it cannot change
-    a verdict. Rules that reject alike are ranked by time.
+    All rules are asked once before any is timed, and a job without a rule is taken off. The
+    sample only ranks the rules, so it cannot change a verdict.
     """
-    sample = saved(docs.select(whole(F.col("text")).alias("text")).limit(rows))
-    size = max(sample.count(), 1)
-    found = []
-    for rule in rules:
-        start = time.perf_counter()
-        text = F.col("text")
-        rejected = sample.filter(let(words(text), partial(rule.on, text))).count()
-        found.append((rule, (time.perf_counter() - start) / size, rejected / size))
-    return found
+    texts, text = sample(docs, rows), F.col("text")
+    asked = [let(words(text), partial(rule.on, text)) for rule in rules]
+    counts = texts.agg(F.count("*"), *[F.count_if(rejects) for rejects in asked]).first()
+    size = max(counts[0], 1)
+
+    def seconds(test: Column) -> float:
+        found = []
+        for _ in range(TIMES):
+            start = time.perf_counter()
+            texts.filter(test).count()
+            found.append(time.perf_counter() - start)
+        return min(found)
+
+    start_up = seconds(F.length(text) < 0)
+    return [
+        (rule, max(seconds(rejects) - start_up, 0.0) / size, rejected / size)
+        for rule, rejects, rejected in zip(rules, asked, counts[1:])
+    ]
 
 
 def ordered(estimates: list[tuple[Rule, float, float]]) -> list[Rule]:
-    """Most rejections per second first."""
+    """Most rejections per second first; rules that reject nothing by time."""
     ranked = sorted(estimates, key=lambda e: (-e[2] / max(e[1], 1e-9), e[1]))
     return [rule for rule, _, _ in ranked]
 
@@ -174,23 +222,36 @@ def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Measures and verdict of every row: doc_id, measures, base_failed, kept."""
-    order = ordered(estimate(docs, rules))
-    text = whole(F.col("text"))
-    measures = let(
-        words(text), lambda w: F.struct(*[m(text, w).alias(k) for k, m in MEASURES.items()])
-    )
-    measured = docs.select("doc_id", F.inline(F.array(measures)))
+    """Measures and verdict of every row: doc_id, measures, base_failed, kept, rejected_by.
+
+    Base rules come first, then those over reported measures, which are there anyway; the others
+    are asked in the order of the estimates, and only for texts that have passed so far.
+    ``rejected_by`` names the first rule that rejects; the order may differ between runs.
+    """
     base = [rule for rule in rules if rule.name in BASE]
-    test = lambda rule: rule.rejects(F.col)
-    base_failed = cascade(base, test).isNotNull()
-    return measured.select(
+    ready = [rule for rule in rules if rule not in base and rule.needs() <= set(REPORTED)]
+    late = tuple(rule for rule in rules if rule not in base and rule not in ready)
+    order = [*base, *ready, *ordered(estimate(docs, late))]
+    text = whole(F.col("text"))
+
+    def judged(words: Column) -> Column:
+        def verdict(found: Column) -> Column:
+            def measure(name: str) -> Column:
+                return found[name] if name in REPORTED else MEASURES[name](text, words)
+
+            return F.struct(
+                *[found[name].alias(name) for name in REPORTED],
+                cascade(order, lambda rule: rule.rejects(measure)).alias("rejected_by"),
+            )
+
+        return let(F.struct(*[MEASURES[name](text, words).alias(name) for name in REPORTED]), verdict)
+
+    found = docs.select("doc_id", F.inline(F.array(let(words(text), judged))))
+    rejected = F.col("rejected_by")
+    return found.select(
         "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        base_failed.alias("base_failed"),
-        (~base_failed & cascade(order, test).isNull()).alias("kept"),
+        *REPORTED,
+        F.coalesce(rejected.isin([rule.name for rule in base]), F.lit(False)).alias("base_failed"),
+        rejected.isNull().alias("kept"),
+        "rejected_by",
     )

@@ -68,10 +68,82 @@ def test_quality_measures(docs):
             doc_id, n, sum(map(len, own)), symbols, len(lines) - len(set(lines)), repeats, failed
         ] += 1
     rows = quality.judge(docs).collect()
-    assert Counter(tuple(r)[:-1] for r in rows) == expected
+    assert Counter(tuple(r)[:-2] for r in rows) == expected
     kept = Counter(r["doc_id"] for r in rows if r["kept"])
     assert Counter(r["doc_id"] for r in quality.filter_documents(docs).collect()) == kept
     assert not any(r["kept"] and r["base_failed"] for r in rows)
+    assert all(r["kept"] == (r["rejected_by"] is None) for r in rows)
+    assert all(r["base_failed"] == (r["rejected_by"] in quality.BASE) for r in rows)
+
+
+def rejecting(text: str) -> set[str]:
+    """Names of all rules that reject the text, by a plain reading of them."""
+    own = h.words(text)
+    lines = [line for line in text.split("\n") if h.words(line)]
+    chars, n = sum(map(len, own)), len(own)
+    cut = sum(line.rstrip(" \t\n\v\f\r").endswith(("...", "…")) for line in lines)
+    bullets = sum(line.lstrip(" \t\n\v\f\r").startswith(("-", "*", "•")) for line in lines)
+    letters = sum(any(c > "\x7f" or c.isalpha() for c in w) for w in own)
+    found = {
+        "few words": n < 10,
+        "repeated words": 100 * sum(h.repeated_words([text], 5)[0]) > 20 * n,
+        "symbols": 10 * len(re.findall(quality.SYMBOLS, text)) > 3 * n,
+        "repeated lines": 10 * (len(lines) - len(set(lines))) > 7 * len(lines),
+        "word length": not 2 * n <= chars <= 20 * n,
+        "few letters": 2 * letters < n,
+        "cut lines": cut > 1 and 10 * cut > 3 * len(lines),
+        "bullet lines": bullets > 1 and 10 * bullets > 9 * len(lines),
+    }
+    return {name for name, rejects in found.items() if rejects}
+
+
+def test_rules_are_asked_one_after_the_other(spark, monkeypatch):
+    line = lambda i: h.sentence(i, 9)
+    texts = [
+        "\n".join(map(line, range(4))),
+        "\n".join(line(i) + " ..." * (i < 3) for i in range(6)),
+        "\n".join(line(i) + "… " * (i < 1) for i in range(6)),
+        "\n".join(f" - {line(i)}" for i in range(12)),
+        "\n".join("-*•"[i % 3] * (i > 0) + line(i) for i in range(8)),
+        " ".join(str(i * 37) for i in range(40)),
+        " ".join(f"{i} ab{i}" for i in range(40)),
+        " ".join("漢字" + str(i) for i in range(40)),
+        line(1) + " a b ...",
+        "# # # # " + line(2),
+    ]
+    texts += [t for _, t in texts_of(h.frame(spark)) if t]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["rejected_by"] for r in quality.judge(docs).collect()}
+    named = [rejecting(t) for t in texts]
+    assert all((found[i] in names) if names else found[i] is None for i, names in enumerate(named))
+    assert set().union(*named) >= {"few letters", "cut lines", "bullet lines", "symbols"}
+
+    # A measure that can't be taken of a text that another rule rejects: it isn't asked for.
+    def strict(text, words):
+        asked = quality.MEASURES["n_words"](text, words)
+        return quality.F.when(asked < 10, quality.F.raise_error(quality.F.lit("asked"))).otherwise(asked)
+
+    monkeypatch.setitem(quality.MEASURES, "strict", strict)
+    late = quality.Rule("late", lambda m: m("strict") < 0)
+    monkeypatch.setattr(
+        quality, "estimate", lambda docs, rules: [(r, float(r is late), float(r is not late)) for r in rules]
+    )
+    rules = (late, *quality.RULES)
+    assert {r["doc_id"]: r["kept"] for r in quality.judge(docs, rules).collect()} == {
+        i: name is None for i, name in found.items()
+    }
+    kept = {r["doc_id"] for r in quality.filter_documents(docs, rules).collect()}
+    assert kept == {i for i, name in found.items() if name is None}
+
+
+def test_estimates_come_from_all_of_the_table(spark):
+    # Short texts stand first, so the first rows alone would say that all are rejected.
+    docs = spark.range(20_000).selectExpr(
+        "id AS doc_id", "IF(id < 5000, 'a b', repeat(concat('word', id, ' '), 30)) AS text"
+    )
+    found = {rule.name: (cost, share) for rule, cost, share in quality.estimate(docs)}
+    assert 0.1 < found["few words"][1] < 0.45
+    assert found["repeated words"][0] > found["few words"][0] >= 0
 
 
 def test_cascade_order():
