@@ -3,7 +3,9 @@
 A write overwrites exactly the partitions it holds rows for. Spark moves the new
 files in when the whole job has succeeded, so a failed write, a broken contract
 included, leaves the table as it was; reruns give the same table. No hour shares a
-partition with another, so writers of different hours may run side by side.
+partition with another, so writers of different hours may run side by side. Writers of
+the same hours take turns within an application. An upsert merges with the rows that it
+read; if their files are others by the time it is to write, it reads and merges again.
 """
 
 from __future__ import annotations
@@ -11,20 +13,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
-from threading import Lock
+from threading import Condition, Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.functions.timebuckets import Moment, as_hour, in_range, within
+from hourmart.functions.timebuckets import Moment, as_hour, in_range
 from hourmart.operators.contracts import enforce, enforce_unique
-from hourmart.operators.merge import upsert
+from hourmart.operators.merge import inside, upsert
 from hourmart.schemas import STAGING, TableSpec
 from hourmart.sources import hournotes
 from hourmart.sources.partitions import hours_between, in_runs
 
 _PARTITION_TYPES = {"dt": "DATE", "hr": "INT"}
 BUCKETS = "spark.hourmart.buckets"
+# How often an upsert starts again when others have changed its hours.
+ATTEMPTS = 20
 
 
 def full_name(spec: TableSpec, database: str) -> str:
@@ -203,12 +207,42 @@ def _drop_partitions(
     )
 
 
-def _inside(rows: DataFrame, spec: TableSpec, start: Moment, end: Moment) -> DataFrame:
-    """A row outside the range would overwrite hours that are not its own."""
-    inside = F.coalesce(within(F.col(spec.hour), start, end), F.lit(False))
-    message = F.lit(f"{spec.name}: row outside the hours being written")
-    guarded = F.when(inside, F.col(spec.hour)).otherwise(F.raise_error(message))
-    return rows.withColumn(spec.hour, guarded)
+class _Turns:
+    """Writers of one application wait for those that hold some of their hours of a table."""
+
+    def __init__(self) -> None:
+        self._free, self._held = Condition(), []
+
+    @contextmanager
+    def __call__(self, table: str, start: datetime, end: datetime) -> Iterator[None]:
+        own = (table, start, end)
+
+        def free() -> bool:
+            return not any(t == table and a < end and start < b for t, a, b in self._held)
+
+        with self._free:
+            self._free.wait_for(free)
+            self._held.append(own)
+        try:
+            yield
+        finally:
+            with self._free:
+                self._held.remove(own)
+                self._free.notify_all()
+
+
+_TURNS = _Turns()
+
+
+def _checked(rows: DataFrame, spec: TableSpec, start: Moment, end: Moment) -> DataFrame:
+    """The rows, with every rule of the table as a guard."""
+    return enforce_unique(enforce(inside(rows, spec.hour, start, end, spec.name), spec), spec)
+
+
+def _files(spark: SparkSession, spec: TableSpec, database: str, start: Moment, end: Moment) -> set:
+    """The files that now hold the range; every write gives its files new names."""
+    # A session of its own lists them anew and keeps what the others have cached.
+    return set(read_table(spark.newSession(), spec, database, start, end).inputFiles())
 
 
 def replace_hours(
@@ -221,11 +255,12 @@ def replace_hours(
 ) -> None:
     """Make ``[start, end)`` of the table equal to the rows; an hour without new
     rows ends up empty."""
-    ensure_table(spark, spec, database)
-    checked = enforce_unique(enforce(_inside(rows, spec, start, end), spec), spec)
-    written = overwrite_partitions(spark, checked, spec, database)
-    stale = set(_partitions_in_range(spark, spec, database, start, end)) - set(written)
-    _drop_partitions(spark, spec, database, list(stale))
+    name = ensure_table(spark, spec, database)
+    checked = _checked(rows, spec, start, end)
+    with _TURNS(name, as_hour(start), as_hour(end)):
+        written = overwrite_partitions(spark, checked, spec, database)
+        stale = set(_partitions_in_range(spark, spec, database, start, end)) - set(written)
+        _drop_partitions(spark, spec, database, list(stale))
 
 
 def upsert_hours(
@@ -237,9 +272,24 @@ def upsert_hours(
     database: str = "default",
 ) -> None:
     """Update or insert by key within ``[start, end)``. Stored keys without an
-    update stay, those of the same hour too. Only the touched hours are rewritten."""
-    ensure_table(spark, spec, database)
-    checked = enforce_unique(enforce(_inside(updates, spec, start, end), spec), spec)
-    stored = read_table(spark, spec, database, start, end)
-    merged = upsert(stored.select(*spec.names), checked, list(spec.key))
-    overwrite_partitions(spark, merged, spec, database)
+    update stay, those of the same hour too. Only the touched hours are rewritten.
+
+    The merge is computed before anyone has to wait for it. Should another writer have
+    changed the range meanwhile, it is computed again from what is there now.
+    """
+    name = ensure_table(spark, spec, database)
+    checked = _checked(updates, spec, start, end)
+    for _ in range(ATTEMPTS):
+        before = _files(spark, spec, database, start, end)
+        spark.catalog.refreshTable(name)
+        stored = read_table(spark, spec, database, start, end)
+        merged = upsert(stored.select(*spec.names), checked, list(spec.key)).persist()
+        try:
+            merged.count()
+            with _TURNS(name, as_hour(start), as_hour(end)):
+                if _files(spark, spec, database, start, end) == before:
+                    overwrite_partitions(spark, merged, spec, database)
+                    return
+        finally:
+            merged.unpersist()
+    raise RuntimeError(f"{name}: others kept changing {start} to {end} during {ATTEMPTS} attempts")

@@ -130,6 +130,61 @@ def test_hours_of_one_day_written_side_by_side(spark, database, write):
     assert [page for _, page, _ in content(spark, TOP, database)] == [f"/{h}" for h in hours]
 
 
+def test_upserts_of_one_hour_side_by_side_lose_nothing(spark, database):
+    tables.ensure_table(spark, TOP, database)
+
+    def one(page):
+        for n in (1, 2):
+            rows = top_rows(spark, ("10:00", page, n))
+            tables.upsert_hours(spark, rows, TOP, TEN, ELEVEN, database)
+
+    pages = [f"/{n}" for n in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, pages))
+    spark.catalog.refreshTable(f"{database}.{TOP.name}")
+    assert content(spark, TOP, database) == [(at("10:00"), page, 2) for page in pages]
+
+
+@pytest.mark.parametrize("stored", [(), ("/old",)])
+def test_upsert_merges_again_after_a_foreign_write(spark, database, monkeypatch, stored):
+    if stored:
+        rows = top_rows(spark, *[("10:00", page, 1) for page in stored])
+        tables.replace_hours(spark, rows, TOP, TEN, ELEVEN, database)
+    merges = []
+
+    def slow_merge(target, updates, key):
+        merged = merge.upsert(target, updates, key)
+        if not merges:
+            # Another application's write: it does not take turns with ours.
+            foreign = [("10:00", page, 1) for page in (*stored, "/foreign")]
+            tables.overwrite_partitions(spark, top_rows(spark, *foreign), TOP, database)
+        merges.append(merged)
+        return merged
+
+    monkeypatch.setattr(tables, "upsert", slow_merge)
+    tables.upsert_hours(spark, top_rows(spark, ("10:00", "/own", 3)), TOP, TEN, ELEVEN, database)
+    assert len(merges) == 2
+    pages = [page for _, page, _ in content(spark, TOP, database)]
+    assert pages == sorted(("/foreign", *stored, "/own"))
+
+
+def test_upsert_gives_up_when_others_never_stop(spark, database, monkeypatch):
+    tables.replace_hours(spark, top_rows(spark, ("10:00", "/a", 1)), TOP, TEN, ELEVEN, database)
+    names = iter(range(100))
+    monkeypatch.setattr(tables, "ATTEMPTS", 2)
+    monkeypatch.setattr(tables, "_files", lambda *_: {next(names)})
+    with pytest.raises(RuntimeError, match="kept changing"):
+        tables.upsert_hours(spark, top_rows(spark, ("10:00", "/b", 1)), TOP, TEN, ELEVEN, database)
+    monkeypatch.undo()
+    assert content(spark, TOP, database) == [(at("10:00"), "/a", 1)]
+
+
+def test_replace_range_is_guarded_like_a_write(spark):
+    rows = top_rows(spark, ("10:00", "/a", 1))
+    with pytest.raises(Exception, match="outside the hours"):
+        merge.replace_range(rows, rows, "event_timestamp", ELEVEN, NOON).collect()
+
+
 def test_no_write_without_dynamic_overwrite(spark, database):
     tables.replace_hours(spark, core_rows(spark, ("a", "10:05")), CORE, TEN, ELEVEN, database)
     key = "spark.sql.sources.partitionOverwriteMode"
