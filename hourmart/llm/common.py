@@ -50,10 +50,10 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def stored(frame: DataFrame) -> DataFrame:
+def stored(frame: DataFrame, compression: str | None = None) -> DataFrame:
     """The frame as a Parquet table in the shared folder: smaller than a checkpoint."""
     path = f"{shared_folder(frame.sparkSession)}/{uuid.uuid4().hex}.parquet"
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.parquet(path)
 
 

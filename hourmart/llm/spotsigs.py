@@ -4,7 +4,7 @@ A spot is an anchor, one of a few words that are common in running text, with th
 content words that follow it. The set of a text's spots is its fingerprint: what stands around
 the running text has few anchors and leaves few spots. Sets are compared by Jaccard likeness;
 only sets of near lengths can be alike, so lengths are cut into parts such that a set meets
-its own part and the two next to it, and spots are looked up in the shortest lists first.
+its own part and the two next to it, and frequent spots are looked up last.
 
 A stretch of ``STRETCH`` or more content words without an anchor, such as a list or a text in
 another language, has as spots a share of its chains of ``CHAIN`` + 1 words, chosen by their hash,
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import Interner, kgram_hashes, mix, slices, texts
+from hourmart.llm.common import Interner, kgram_hashes, mix, slices, stored, texts
 
 # Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -40,6 +40,8 @@ CHAIN = 2
 # Content words without an anchor from which on chains are spots, and one of how many chains.
 STRETCH, SHARE = 12, 4
 LIKENESS = 0.8
+# How many frequent spots are told apart from the others; results do not depend on it.
+OFTEN = 10_000
 MARKS = ".,;:!?()[]{}\"'`|*#$%&<>-_/\\"
 # Words without letters or digits take no part; anchors have small numbers.
 _NOTHING, _CONTENT = 0, 1 << 16
@@ -263,52 +265,158 @@ def _spots(chain: int):
         for batch in slices(batches):
             sets = prints.of(texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "spots"],
+                [batch.column("doc_id"), pa.array([written(s) for s in sets], pa.string())],
+                names=["doc_id", "fingerprint"],
             )
 
     return run
 
 
-def spots(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
-    """doc_id, spots: the sorted spot set of every row."""
+def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
+    """doc_id and fingerprint of every row."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_spots(chain), "doc_id long, spots array<long>")
+    return rows.mapInArrow(_spots(chain), "doc_id long, fingerprint string")
 
 
 def length_part(size: Column, floor: float) -> Column:
     """Number of the part of a set's length: lengths of alike sets differ by one part at most."""
-    return F.floor(F.log(F.greatest(size, F.lit(1))) / F.log(F.lit(1 / floor))).cast("int")
+    # The small addend keeps lengths on a border together, whichever way they were rounded.
+    return F.floor(F.log(size) / F.log(F.lit(1 / floor)) + 1e-9).cast("int")
 
 
-def search(queries: DataFrame, index: DataFrame, floor: float = LIKENESS, chain: int = CHAIN) -> DataFrame:
-    """query_id, doc_id, likeness of all rows of ``index`` that are like a query by ``floor``.
+def _read(often: list[int], floor: float):
+    """Written sets as lists of numbers, and the first spots of each, frequent ones last."""
+    known = np.array(sorted(often), np.uint32)
+    rank = {spot: place for place, spot in enumerate(reversed(often), 1)}
+    ranks = np.array([rank[spot] for spot in known.tolist()], np.int64)
+
+    def first(own: np.ndarray) -> np.ndarray:
+        late = np.zeros(len(own), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            late = np.where(known[at] == own, ranks[at], 0)
+        size = len(own)
+        return own[np.lexsort((own, late))][: size - int(np.ceil(floor * size - 1e-9)) + 1]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32())
+        for batch in slices(batches, "fingerprint"):
+            sets = [
+                np.frombuffer(bytes.fromhex(t), ">u4").astype(np.uint32)
+                for t in batch.column("fingerprint").to_pylist()
+            ]
+            columns = [batch.column(n) for n in ("digest", "asked", "copies")]
+            columns.append(pa.array([s.view(np.int32) for s in sets], kind))
+            columns.append(pa.array([first(s).view(np.int32) for s in sets], kind))
+            names = ["digest", "asked", "copies", "spots", "first"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
 
-    Sets that are alike share one of the first spots of both: all but ``ceil(floor * length)``
-    plus one of them. Equal sets of the index are looked up once.
-    """
 
-    def listed(rows: DataFrame, name: str) -> DataFrame:
-        sized = spots(rows, chain).filter(F.size("spots") > 0)
-        sets = sized.groupBy("spots").agg(F.collect_set("doc_id").alias(name))
-        size = F.size("spots")
-        first = F.slice("spots", 1, (size - F.ceil(size * floor) + 1).cast("int"))
-        return sets.withColumn("part", length_part(size, floor)).withColumn("spot", F.explode(first))
+def _digest() -> Column:
+    return F.unhex(F.md5("fingerprint"))
 
+
+def alike(rows: DataFrame, floor: float = LIKENESS) -> DataFrame:
+    """Pairs of different fingerprints, as digests, that are alike by ``floor``, equal ones included.
+
+    ``rows`` hold fingerprint, asked (the row is a query) and there (the row can be found). The
+    result holds query_set, found_set, likeness and copies, the number of rows of the found set.
+
+    Each different set is looked up once. Sets that are alike share one of the first spots of
+    both: all but ``ceil(floor * length)`` plus one of them, in any order that is the same for
+    all sets. The ``OFTEN`` spots most frequent among the queries come last in it, so that
+    lookups meet short lists.
+    """
+    sets = (
+        rows.filter(F.length("fingerprint") > 0)
+        .groupBy(_digest().alias("digest"))
+        .agg(
+            F.any_value("fingerprint").alias("fingerprint"),
+            F.max("asked").alias("asked"),
+            F.sum(F.col("there").cast("long")).alias("copies"),
+        )
+    )
+    # Spots as eight digits each, of the query sets only.
+    digits = F.expr(
+        "transform(sequence(0, length(fingerprint) div 8 - 1), i -> substr(fingerprint, 8 * i + 1, 8))"
+    )
+    counts = sets.filter("asked").select(F.explode(digits).alias("spot")).groupBy("spot").count()
+    most = counts.filter("count > 1").orderBy(F.desc("count"), "spot").limit(OFTEN).collect()
+    often = [int(row["spot"], 16) for row in most]
+    sets = stored(
+        sets.select("fingerprint", "digest", "asked", "copies").mapInArrow(
+            _read(often, floor),
+            "digest binary, asked boolean, copies long, spots array<int>, first array<int>",
+        )
+    )
+    size = F.size("spots")
+    lists = sets.select(
+        "digest", "asked", "copies", size.alias("size"), length_part(size, floor).alias("part"),
+        F.explode("first").alias("spot"),
+    )
     near = F.explode(F.array(*[F.col("part") + d for d in (-1, 0, 1)]))
-    left = listed(queries, "queries").withColumn("part", near).alias("q")
-    right = listed(index, "docs").alias("d")
+    left = lists.filter("asked").withColumn("part", near).alias("q")
+    right = lists.filter("copies > 0").alias("d")
+    one, other = F.col("q.size"), F.col("d.size")
     met = left.join(
-        right, (F.col("q.part") == F.col("d.part")) & (F.col("q.spot") == F.col("d.spot"))
+        right,
+        (F.col("q.part") == F.col("d.part"))
+        & (F.col("q.spot") == F.col("d.spot"))
+        & (F.least(one, other) >= F.lit(floor) * F.greatest(one, other) - 1e-9),
+    ).select(F.col("q.digest").alias("query_set"), F.col("d.digest").alias("found_set")).distinct()
+    found = sets.select(
+        F.col("digest").alias("found_set"), F.col("spots").alias("found_spots"), "copies"
     )
-    one, other = F.size("q.spots"), F.size("d.spots")
-    both = F.size(F.array_intersect("q.spots", "d.spots"))
-    alike = met.filter(F.least(one, other) >= floor * F.greatest(one, other)).select(
-        "queries", "docs", (both / (one + other - both)).alias("likeness")
+    asked = sets.filter("asked").select(
+        F.col("digest").alias("query_set"), F.col("spots").alias("query_spots")
+    )
+    both = F.size(F.array_intersect("query_spots", "found_spots"))
+    union = F.size("query_spots") + F.size("found_spots") - both
+    pairs = met.join(found, "found_set").join(asked, "query_set")
+    pairs = pairs.select("query_set", "found_set", (both / union).alias("likeness"), "copies")
+    return pairs.filter(F.col("likeness") >= floor)
+
+
+def search(queries: DataFrame, index: DataFrame, floor: float = LIKENESS, chain: int = CHAIN) -> DataFrame:
+    """query_id, doc_id, likeness of all rows of ``index`` that are like a query by ``floor``.
+
+    Rows without words are like none.
+    """
+
+    def marked(docs: DataFrame, asked: bool) -> DataFrame:
+        flags = {"asked": F.lit(asked), "there": F.lit(not asked)}
+        return stored(fingerprints(docs, chain)).withColumns(flags)
+
+    asked, there = marked(queries, True), marked(index, False)
+    pairs = alike(asked.unionByName(there), floor)
+    ids = asked.select(F.col("doc_id").alias("query_id"), _digest().alias("query_set"))
+    found = there.select("doc_id", _digest().alias("found_set"))
+    joined = pairs.join(ids, "query_set").join(found, "found_set")
+    return joined.select("query_id", "doc_id", "likeness")
+
+
+def report(
+    docs: DataFrame, queries: Column, floor: float = LIKENESS, chain: int = CHAIN
+) -> DataFrame:
+    """``compare``, and of the rows that are queries how many others of all rows are alike.
+
+    n_links counts rows other than the query itself that are like it by ``floor``, n_linked_sets
+    the different fingerprints among them and it; both are 0 for a query without words and null
+    for rows that are no queries. ``queries`` is a condition on doc_id; null is no query.
+    """
+    # Hexadecimal digits take half the place with zstd.
+    rows = stored(compare(docs, chain), compression="zstd")
+    asked = F.coalesce(queries, F.lit(False))
+    pairs = alike(
+        rows.select("fingerprint", asked.alias("asked"), F.lit(True).alias("there")), floor
     )
-    return (
-        alike.filter(F.col("likeness") >= floor)
-        .distinct()
-        .select(F.explode("queries").alias("query_id"), "docs", "likeness")
-        .select("query_id", F.explode("docs").alias("doc_id"), "likeness")
+    links = pairs.groupBy("query_set").agg(
+        (F.sum("copies") - 1).alias("n_links"), F.count("*").alias("n_linked_sets")
     )
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_links", "n_linked_sets")}
+    none = {c: F.lit(None).cast("long") for c in zero}
+    own = rows.filter(asked).withColumn("query_set", _digest()).join(links, "query_set", "left")
+    rest = rows.filter(~asked).withColumns(none)
+    return own.drop("query_set").withColumns(zero).unionByName(rest)

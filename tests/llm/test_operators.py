@@ -18,6 +18,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -475,17 +476,42 @@ def test_fingerprints_without_anchors_stay_alike(spark):
     assert all((a == prints.of([t.encode()])[0]).all() for a, t in zip(prints.of([t.encode() for t in plain]), plain))
 
 
-def test_fingerprint_search(spark):
+def spot_sets(docs) -> list[tuple]:
+    found = spotsigs.fingerprints(docs).collect()
+    return [(r["doc_id"], frozenset(re.findall("." * 8, r["fingerprint"]))) for r in found]
+
+
+@pytest.mark.parametrize("floor, often", [(0.7, 10_000), (0.5, 3), (0.8, 0)])
+def test_fingerprint_search(spark, monkeypatch, floor, often):
+    monkeypatch.setattr(spotsigs, "OFTEN", often)
     docs = table(spark, SMALL, "documents")
-    sets = {r["doc_id"]: set(r["spots"]) for r in spotsigs.spots(docs).collect()}
-    found = spotsigs.search(docs.filter("doc_id % 20 = 0"), docs, 0.7).collect()
+    sets = dict(spot_sets(docs))
+    found = spotsigs.search(docs.filter("doc_id % 20 = 0"), docs, floor).collect()
     expected = {
         (q, d)
         for q in sets
         for d in sets
-        if q % 20 == 0 and sets[q] and len(sets[q] & sets[d]) >= 0.7 * len(sets[q] | sets[d])
+        if q % 20 == 0 and sets[q] and len(sets[q] & sets[d]) >= floor * len(sets[q] | sets[d])
     }
-    assert {(r["query_id"], r["doc_id"]) for r in found} == expected
+    assert Counter((r["query_id"], r["doc_id"]) for r in found) == Counter(expected)
+
+
+def test_fingerprint_links(docs):
+    sets = spot_sets(docs)
+    expected = Counter()
+    for doc_id, own in sets:
+        if doc_id is None or doc_id % 20:
+            expected[doc_id, None, None] += 1
+            continue
+        near = [o for _, o in sets if own and len(own & o) >= 0.8 * len(own | o)]
+        expected[doc_id, max(len(near) - 1, 0), len(set(near))] += 1
+    rows = spotsigs.report(docs, F.col("doc_id") % 20 == 0)
+    found = rows.select("doc_id", "n_links", "n_linked_sets").collect()
+    assert Counter(map(tuple, found)) == expected
+    plain = spotsigs.compare(docs)
+    assert sorted(map(str, rows.select(*plain.columns).collect())) == sorted(
+        map(str, plain.collect())
+    )
 
 
 def test_language_model_counts(docs):
