@@ -73,7 +73,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.report(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+    return spotsigs.compare(table(spark, sf_dir, "documents"))
+
+
+def fingerprint_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.links(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op11_nearest": op11_nearest,
     "op12_ranked_search": op12_ranked_search,
     "op13_hard_negatives": op13_hard_negatives,
+    "fingerprint_links": fingerprint_links,
 }
 ORACLES: dict[str, str] = {
     "op1_substrings": oracles.SUBSTRINGS,

@@ -302,7 +302,7 @@ def _read(often: list[int], floor: float):
         kind = pa.list_(pa.int32())
         for batch in slices(batches, "fingerprint"):
             sets = [
-                np.frombuffer(bytes.fromhex(t), ">u4").astype(np.uint32)
+                np.frombuffer(t, ">u4").astype(np.uint32)
                 for t in batch.column("fingerprint").to_pylist()
             ]
             columns = [batch.column(n) for n in ("digest", "asked", "copies")]
@@ -318,7 +318,18 @@ def _digest() -> Column:
     return F.unhex(F.md5("fingerprint"))
 
 
-def alike(rows: DataFrame, floor: float = LIKENESS) -> DataFrame:
+def _often(asked: DataFrame) -> list[int]:
+    """The ``OFTEN`` spots that most different fingerprints of the queries hold, most first."""
+    digits = F.expr(
+        "transform(sequence(0, length(fingerprint) div 8 - 1), i -> substr(fingerprint, 8 * i + 1, 8))"
+    )
+    sets = asked.filter(F.length("fingerprint") > 0).select("fingerprint").distinct()
+    counts = sets.select(F.explode(digits).alias("spot")).groupBy("spot").count()
+    most = counts.filter("count > 1").orderBy(F.desc("count"), "spot").limit(OFTEN).collect()
+    return [int(row["spot"], 16) for row in most]
+
+
+def alike(rows: DataFrame, floor: float = LIKENESS, often: Iterable[int] = ()) -> DataFrame:
     """Pairs of different fingerprints, as digests, that are alike by ``floor``, equal ones included.
 
     ``rows`` hold fingerprint, asked (the row is a query) and there (the row can be found). The
@@ -326,44 +337,41 @@ def alike(rows: DataFrame, floor: float = LIKENESS) -> DataFrame:
 
     Each different set is looked up once. Sets that are alike share one of the first spots of
     both: all but ``ceil(floor * length)`` plus one of them, in any order that is the same for
-    all sets. The ``OFTEN`` spots most frequent among the queries come last in it, so that
-    lookups meet short lists.
+    all sets. In it the spots ``often``, most frequent ones first, come last, so that lookups
+    meet short lists; the result does not depend on them.
     """
     sets = (
         rows.filter(F.length("fingerprint") > 0)
-        .groupBy(_digest().alias("digest"))
+        .withColumn("digest", _digest())
+        # Four bytes a spot.
+        .groupBy("digest")
         .agg(
-            F.any_value("fingerprint").alias("fingerprint"),
+            F.any_value(F.unhex("fingerprint")).alias("fingerprint"),
             F.max("asked").alias("asked"),
             F.sum(F.col("there").cast("long")).alias("copies"),
         )
     )
-    # Spots as eight digits each, of the query sets only.
-    digits = F.expr(
-        "transform(sequence(0, length(fingerprint) div 8 - 1), i -> substr(fingerprint, 8 * i + 1, 8))"
-    )
-    counts = sets.filter("asked").select(F.explode(digits).alias("spot")).groupBy("spot").count()
-    most = counts.filter("count > 1").orderBy(F.desc("count"), "spot").limit(OFTEN).collect()
-    often = [int(row["spot"], 16) for row in most]
     sets = stored(
         sets.select("fingerprint", "digest", "asked", "copies").mapInArrow(
-            _read(often, floor),
+            _read(list(often), floor),
             "digest binary, asked boolean, copies long, spots array<int>, first array<int>",
         )
     )
     size = F.size("spots")
+    part = length_part(size, floor)
     lists = sets.select(
-        "digest", "asked", "copies", size.alias("size"), length_part(size, floor).alias("part"),
+        "digest", "asked", "copies", size.alias("size"), part.alias("part"),
         F.explode("first").alias("spot"),
     )
     near = F.explode(F.array(*[F.col("part") + d for d in (-1, 0, 1)]))
-    left = lists.filter("asked").withColumn("part", near).alias("q")
-    right = lists.filter("copies > 0").alias("d")
+    # Pairs that meet by an accident of this hash are not alike.
+    key = F.xxhash64("part", "spot").alias("key")
+    left = lists.filter("asked").withColumn("part", near).select("digest", "size", key).alias("q")
+    right = lists.filter("copies > 0").select("digest", "size", key).alias("d")
     one, other = F.col("q.size"), F.col("d.size")
     met = left.join(
         right,
-        (F.col("q.part") == F.col("d.part"))
-        & (F.col("q.spot") == F.col("d.spot"))
+        (F.col("q.key") == F.col("d.key"))
         & (F.least(one, other) >= F.lit(floor) * F.greatest(one, other) - 1e-9),
     ).select(F.col("q.digest").alias("query_set"), F.col("d.digest").alias("found_set")).distinct()
     found = sets.select(
@@ -390,33 +398,30 @@ def search(queries: DataFrame, index: DataFrame, floor: float = LIKENESS, chain:
         return stored(fingerprints(docs, chain)).withColumns(flags)
 
     asked, there = marked(queries, True), marked(index, False)
-    pairs = alike(asked.unionByName(there), floor)
+    pairs = alike(asked.unionByName(there), floor, _often(asked))
     ids = asked.select(F.col("doc_id").alias("query_id"), _digest().alias("query_set"))
     found = there.select("doc_id", _digest().alias("found_set"))
     joined = pairs.join(ids, "query_set").join(found, "found_set")
     return joined.select("query_id", "doc_id", "likeness")
 
 
-def report(
+def links(
     docs: DataFrame, queries: Column, floor: float = LIKENESS, chain: int = CHAIN
 ) -> DataFrame:
-    """``compare``, and of the rows that are queries how many others of all rows are alike.
+    """doc_id, n_links, n_linked_sets of the rows that are queries, copies not expanded into pairs.
 
-    n_links counts rows other than the query itself that are like it by ``floor``, n_linked_sets
-    the different fingerprints among them and it; both are 0 for a query without words and null
-    for rows that are no queries. ``queries`` is a condition on doc_id; null is no query.
+    n_links counts the rows of ``docs`` other than the query itself that are like it by ``floor``,
+    n_linked_sets the different fingerprints among them and it; both are 0 for a query without
+    words. ``queries`` is a condition on doc_id; null is no query.
     """
-    # Hexadecimal digits take half the place with zstd.
-    rows = stored(compare(docs, chain), compression="zstd")
     asked = F.coalesce(queries, F.lit(False))
-    pairs = alike(
-        rows.select("fingerprint", asked.alias("asked"), F.lit(True).alias("there")), floor
-    )
-    links = pairs.groupBy("query_set").agg(
+    own = stored(fingerprints(docs.filter(asked), chain))
+    rows = fingerprints(docs, chain)
+    rows = rows.select("fingerprint", asked.alias("asked"), F.lit(True).alias("there"))
+    pairs = alike(rows, floor, _often(own))
+    counted = pairs.groupBy("query_set").agg(
         (F.sum("copies") - 1).alias("n_links"), F.count("*").alias("n_linked_sets")
     )
-    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_links", "n_linked_sets")}
-    none = {c: F.lit(None).cast("long") for c in zero}
-    own = rows.filter(asked).withColumn("query_set", _digest()).join(links, "query_set", "left")
-    rest = rows.filter(~asked).withColumns(none)
-    return own.drop("query_set").withColumns(zero).unionByName(rest)
+    own = own.select("doc_id", _digest().alias("query_set"))
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_links", "n_linked_sets")]
+    return own.join(counted, "query_set", "left").select("doc_id", *numbers)
