@@ -223,6 +223,20 @@ def test_subwords_are_those_of_the_tokenizer():
         assert ids == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_subwords_keep_pieces_when_words_are_forgotten():
+    whole = Tokenizer.from_file(h.TOKENIZER)
+    own = packing.Subwords(h.TOKENIZER, most=3)
+    first = [w.encode() for w in ["Alpha", "alpha,", "ALPHA", "alpha"]]
+    own.encode([first])
+    pieces = dict(own.parts)
+    own.encode([[b"epsilon"]])
+    assert not own.known.keys() & set(first)
+    assert pieces.items() <= own.parts.items()
+    for text in ["Alpha alpha, ALPHA alpha", "epsilon alpha"]:
+        ids = own.encode([text.encode().split()])[0].tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("lengths", [[3000] * 5, [1400, 1400, 2000, 2000, 700], [4096, 1, 1], [1365] * 7, [1]])
 def test_plan_places_every_piece(lengths):
     counts = Counter(lengths)
