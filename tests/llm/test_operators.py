@@ -556,6 +556,49 @@ def test_attention_learns_more_than_frequencies(spark):
     assert model.log_chances(held, held_starts).mean() > alone + 0.7
 
 
+def test_words_are_spelled_once_however_often_they_come(monkeypatch):
+    spelled, plain = [], packing.Subwords.spelled
+    monkeypatch.setattr(
+        packing.Subwords, "spelled", lambda self, at: spelled.append(len(at)) or plain(self, at)
+    )
+    texts = ["Ab cd, " * 5000, None, "cd, x2y"] * 3
+    batch = scoring.pa.RecordBatch.from_pydict({"text": texts})
+    found = Counter()
+    for out in scoring._count(h.TOKENIZER)([batch, batch]):
+        for row in out.to_pylist():
+            found[row["subword"], row["key"]] += row["n"]
+    whole = Tokenizer.from_file(h.TOKENIZER)
+    ids = Counter(i for t in texts for i in whole.encode(t or "", add_special_tokens=False).ids)
+    expected = {i: 2 * n for i, n in (ids + Counter({scoring.END: len(texts)})).items()}
+    assert {k: n for (subword, k), n in found.items() if subword} == expected
+    assert sorted(n for (subword, _), n in found.items() if not subword) == [6, 30000, 30006]
+    assert sum(spelled) == 3
+
+
+def test_words_are_asked_for_once_a_block():
+    batch = scoring.pa.RecordBatch.from_pydict({"text": ["a b c", "b c d", None], "block": [0, 1, 0]})
+    asked = [(r["block"], r["key"]) for out in scoring._ask([batch, batch, batch]) for r in out.to_pylist()]
+    key = lambda w: int(np.uint64(scoring.xxhash.xxh64_intdigest(w)).view(np.int64))
+    assert Counter(asked) == Counter([(0, key(w)) for w in "abc"] + [(1, key(w)) for w in "bcd"])
+
+
+def test_counts_of_a_block_follow_forgotten_words(monkeypatch):
+    tokens = packing.Subwords(h.TOKENIZER, most=2)
+    monkeypatch.setattr(scoring, "subwords", lambda path: tokens)
+    words = [b"one", b"two", b"three", b"four"]
+    keys = np.array([scoring.xxhash.xxh64_intdigest(w) for w in words[:3]], np.uint64).view(np.int64)
+    counts = scoring.pa.table({"key": keys, "n": [1, 2, 3]})
+    model = attention.Attention(attention.Vocabulary.of(np.ones(scoring.IDS)))
+    reader = scoring._Reader(h.TOKENIZER, model, counts)
+    for text, expected in (("one two three", [1, 2, 3]), ("four three one", [0, 3, 1]), ("two", [2])):
+        border, n, of_word, of_end = reader.read(scoring.pa.RecordBatch.from_pydict({"text": [text]}))
+        assert n.tolist() == expected and border.tolist() == [0, len(expected)]
+        ids, starts, place, begin = scoring._sequence(tokens, [text.encode().split()])
+        chance = model.log_chances(ids, starts)
+        sums = [chance[place[low:high]].sum() for low, high in zip(begin, begin[1:])]
+        assert of_word == pytest.approx(sums) and of_end == pytest.approx(chance[-1:])
+
+
 def test_attention_is_sent_without_nodes_at_rest():
     model = attention.Attention(attention.Vocabulary.of(np.arange(3000.0)))
     model.tree[7] = 2
@@ -668,6 +711,68 @@ def test_attention_gradient_and_windows():
         assert (up - down) / (2 * step) == pytest.approx(gradient[name][at], rel=0.05, abs=1e-4)
 
 
+def test_gradient_down_the_tree():
+    rng = np.random.default_rng(0)
+    vocabulary = attention.Vocabulary.of(rng.zipf(1.3, 6000).astype(float))
+    model = attention.Attention(vocabulary)
+    model.tree += 0.3 * rng.standard_normal(model.tree.shape).astype(np.float32)
+    # One node with many tokens, others with a few, and tokens that do not count.
+    deep = np.flatnonzero(vocabulary.depth > 1)
+    tokens = rng.choice(np.append(rng.choice(deep, 40), np.full(60, deep[0])), (5, attention.WINDOW))
+    rows = rng.integers(0, 50, tokens.shape)
+    valid = rng.random(tokens.shape) < 0.8
+    classes = vocabulary.class_of[tokens]
+    gradient = model._gradient(rows, classes, valid, tokens)
+    nodes, passed, g = gradient["tree"]
+    ways = vocabulary.node_of[tokens[valid]]
+    assert dict(zip(nodes.tolist(), passed.tolist())) == Counter(ways[ways >= 0].tolist())
+    assert passed.max() > attention.SLOTS
+
+    h = model._forward(rows)[-2][valid]
+    sums = defaultdict(float)
+    for state, token in zip(h, tokens[valid]):
+        for node, child in zip(vocabulary.node_of[token], vocabulary.child_of[token]):
+            if node >= 0:
+                z = model.tree[node] @ state + vocabulary.prior[node]
+                p = np.exp(z - z.max())
+                sums[node] += np.outer(p / p.sum() - (np.arange(attention.FAN) == child), state)
+    for node, found in zip(nodes.tolist(), g):
+        assert found == pytest.approx(sums[node], abs=1e-4)
+
+    def loss() -> float:
+        *_, h, z = model._forward(rows)
+        own = model._of_class(z.astype(float), classes)[valid]
+        return -(own + model._within(h[valid][:, :-1], tokens[valid])).mean()
+
+    for name in ("qkv", "mix", "inputs"):
+        at = np.unravel_index(np.abs(gradient[name]).argmax(), gradient[name].shape)
+        kept, step = model.weights[name][at], 1e-2
+        model.weights[name][at] = kept + step
+        up = loss()
+        model.weights[name][at] = kept - step
+        down = loss()
+        model.weights[name][at] = kept
+        assert (up - down) / (2 * step) == pytest.approx(gradient[name][at], rel=0.05, abs=1e-4)
+
+
+def test_large_scores_have_chances():
+    rng = np.random.default_rng(0)
+    vocabulary = attention.Vocabulary.of(np.arange(3000.0))
+    model = attention.Attention(vocabulary)
+    model.tree += 40 * rng.standard_normal(model.tree.shape).astype(np.float32)
+    for weights in model.weights.values():
+        weights *= 6
+    tokens, starts = rng.integers(0, 3000, 300), np.array([0, 1, 90, 300])
+    chances = model.log_chances(tokens, starts)
+    assert np.isfinite(chances).all() and (chances <= 1e-3).all()
+    state = rng.standard_normal((1, attention.WIDTH)).astype(np.float32)
+    within = model._within(np.repeat(state, 3000, axis=0), np.arange(3000))
+    of_class = np.bincount(vocabulary.class_of, np.exp(within))
+    assert of_class[np.unique(vocabulary.class_of)] == pytest.approx(1, abs=1e-3)
+    model.train(tokens, starts, epochs=1)
+    assert all(np.isfinite(w).all() for w in model.weights.values()) and np.isfinite(model.tree).all()
+
+
 def test_toxicity_held_out(spark):
     docs = table(spark, "/root/testdata/sf0.1", "documents")
     labels = table(spark, "/root/testdata/sf0.1", "labels")
